@@ -9,13 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators import audits as AU
 from ..operators import cohort as CO
+from ..operators import distributions as DI
 from ..operators import funnel as FU
 from ..operators import master as MA
 from ..operators import rollups as RO
 from ..operators import segments as SE
 from ..operators import topk as TK
+from ..functions import columns as C
 from . import oracle
 from .fixtures import fixture_tables
 
@@ -65,4 +69,31 @@ register("withdrawal_reasons")(lambda s, d: TK.withdrawal_reasons(
     _t(s, d).drop_withdrawals, CO.cohort_ids(_t(s, d).studies)))
 register("high_risk_trials")(lambda s, d: TK.high_risk_trials(_m(s, d)))
 
+
+# --- audits, distributions, coercions ---------------------------------------
+register("class_balance")(lambda s, d: AU.class_balance(CO.filter_cohort(_t(s, d).studies)))
+register("null_audit")(lambda s, d: AU.null_audit(CO.filter_cohort(_t(s, d).studies)))
+register("phase_status_crosstab")(lambda s, d: AU.phase_status_crosstab(CO.filter_cohort(_t(s, d).studies)))
+register("sponsor_distribution")(lambda s, d: AU.sponsor_distribution(_t(s, d).studies, _t(s, d).sponsors))
+register("enrollment_stats")(lambda s, d: AU.enrollment_stats(CO.filter_cohort(_t(s, d).studies)))
+register("row_count_audit")(lambda s, d: AU.row_count_audit(_t(s, d)))
+register("median_fill")(lambda s, d: AU.median_fill(
+    _m(s, d).select("nct_id", "number_of_arms", "duration_months"), ["number_of_arms", "duration_months"]))
+register("enrollment_histogram")(lambda s, d: DI.enrollment_histogram(_m(s, d)))
+register("duration_scatter_sample")(lambda s, d: DI.duration_scatter_sample(_m(s, d)))
+register("na_tokens")(lambda s, d: AU.na_token_audit(_t(s, d).studies, columns=[
+    "overall_status", "phase", "enrollment_type", "study_type", "why_stopped", "has_expanded_access"]))
+
+
+@register("date_coerce")
+def _date_coerce(s, d):
+    """B4 over text dates: the start date rendered as text, with an invalid
+    month planted in every 29th trial, coerced back (bad text -> NULL)."""
+    st = _t(s, d).studies
+    txt = F.when(F.col("nct_id") % 29 == 0, F.lit("2020-13-01")).otherwise(
+        F.date_format("start_date", "yyyy-MM-dd"))
+    return (st.select("nct_id", txt.alias("start_date_text"))
+            .select("nct_id", "start_date_text", C.coerce_date("start_date_text").alias("start_date")))
+
+
 ORACLE_SQL: dict[str, str] = oracle.QUERIES

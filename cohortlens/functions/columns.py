@@ -54,7 +54,7 @@ def sponsor_code(agency_class: str | Column = "agency_class",
 
 def coerce_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> DATE; unparseable text -> NULL (``errors='coerce'``)."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 def duration_days(end: str | Column = "completion_date",
@@ -95,9 +95,10 @@ def normalize_reason(c: str | Column = "reason") -> Column:
 
 
 def na_to_null(c: str | Column, tokens: Iterable[str] = K.NA_TOKENS) -> Column:
-    """A2: the missing-value tokens of text input become NULL."""
+    """A2: a field equal to one of the missing-value tokens becomes NULL
+    (exact match, as a text reader compares whole fields)."""
     col = _c(c)
-    return F.when(~F.trim(col).isin(list(tokens)), col)
+    return F.when(~col.isin(list(tokens)), col)
 
 
 def pct(num: str | Column, den: str | Column, places: int = 1) -> Column:
