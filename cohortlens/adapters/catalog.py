@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audits as AU
+from ..operators import bands as BA
+from ..operators import dashboard as DB
+from ..operators import features as FE
+from ..operators import metrics as ME
 from ..operators import cohort as CO
 from ..operators import distributions as DI
 from ..operators import funnel as FU
@@ -19,6 +23,7 @@ from ..operators import master as MA
 from ..operators import rollups as RO
 from ..operators import segments as SE
 from ..operators import topk as TK
+from .. import constants as K
 from ..functions import columns as C
 from . import oracle
 from .fixtures import fixture_tables
@@ -96,4 +101,73 @@ def _date_coerce(s, d):
             .select("nct_id", "start_date_text", C.coerce_date("start_date_text").alias("start_date")))
 
 
+# --- features, split, weights ------------------------------------------------
+def _features(s, d):
+    return FE.with_split(FE.ml_features(_m(s, d, "pandas")))
+
+
+LOG_FEATURES = ("log_enrollment", "log_site_count", "log_withdrawals")
+
+
+@register("ml_features")
+def _ml_features(s, d):
+    f = FE.ml_features(_m(s, d, "pandas"))
+    return f.select(*[F.round(c, 9).alias(c) if c in LOG_FEATURES else F.col(c) for c in f.columns])
+
+
+register("split_counts")(lambda s, d: FE.split_counts(_features(s, d)))
+register("class_weights")(lambda s, d: FE.class_weights(_features(s, d).where(F.col("is_test") == 0)).select(
+    K.TARGET, "n", F.round("balanced_weight", 9).alias("balanced_weight"),
+    F.round("boost_weight", 9).alias("boost_weight")))
+
+
+# --- deterministic pseudo-score: metrics, bands, dashboard -----------------
+SCORED_COLUMNS = ("nct_id", "overall_status", "is_terminated", "phase", "agency_class", "enrollment",
+                  "duration_months", "site_count", "total_withdrawals", "risk_score", "risk_band")
+
+
+def pseudo_scored(s, d):
+    """The scored table with the deterministic pseudo-score in place of a
+    model's probability (FIXTURES.md §4), plus ``is_test`` and ``prediction``."""
+    m = _m(s, d, "pandas")
+    sc = m.select("nct_id", "overall_status", "is_terminated", "phase", "agency_class", "enrollment",
+                  "duration_months", F.col("site_count").cast("double").alias("site_count"),
+                  "total_withdrawals", C.pseudo_score().alias("risk_score"))
+    sc = BA.with_bands(sc)
+    return FE.with_split(sc).withColumn("prediction", (F.col("risk_score") >= 0.5).cast("int"))
+
+
+def _lab(s, d):
+    return pseudo_scored(s, d).select(F.col("risk_score").alias("score"),
+                                      F.col("is_terminated").alias("label"), "prediction")
+
+
+register("metric_auc")(lambda s, d: ME.auc(_lab(s, d)))
+register("metric_avg_precision")(lambda s, d: ME.average_precision(_lab(s, d)))
+register("metric_f1_macro")(lambda s, d: ME.f1_macro(_lab(s, d)))
+register("roc_points")(lambda s, d: ME.roc_points(_lab(s, d)))
+register("classification_report")(lambda s, d: ME.classification_report(_lab(s, d)))
+register("risk_bands")(lambda s, d: pseudo_scored(s, d).select("nct_id", "risk_score", "risk_band",
+                                                               "risk_band_ord"))
+register("risk_band_summary")(lambda s, d: BA.band_summary(
+    BA.with_bands(pseudo_scored(s, d).drop("risk_band", "risk_band_ord"), labels=K.BAND_LABELS_LONG),
+    by=["is_test"]))
+register("risk_score_histogram")(lambda s, d: DI.risk_score_histogram(pseudo_scored(s, d)))
+
+
+def _cube(s, d):
+    return DB.cube(pseudo_scored(s, d).select(*SCORED_COLUMNS))
+
+
+register("pivot_phase")(lambda s, d: DB.pivot(_cube(s, d), "phase"))
+register("pivot_sponsor")(lambda s, d: DB.pivot(_cube(s, d), "agency_class"))
+register("pivot_risk_band")(lambda s, d: DB.pivot(_cube(s, d), "risk_band"))
+register("dash_score_bins")(lambda s, d: DB.view(_cube(s, d), "score_bins"))
+register("dash_phase")(lambda s, d: DB.view(_cube(s, d), "phase"))
+register("dash_sponsor")(lambda s, d: DB.view(_cube(s, d), "sponsor"))
+register("dash_bands")(lambda s, d: DB.view(_cube(s, d), "bands"))
+register("dash_cross_filter")(lambda s, d: DB.views_long(DB.dashboard_views(
+    _cube(s, d), {"sponsor": F.col("agency_class") == "OTHER"})))
+
+
 ORACLE_SQL: dict[str, str] = oracle.QUERIES
