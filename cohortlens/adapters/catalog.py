@@ -170,4 +170,35 @@ register("dash_cross_filter")(lambda s, d: DB.views_long(DB.dashboard_views(
     _cube(s, d), {"sponsor": F.col("agency_class") == "OTHER"})))
 
 
+# --- model training and scoring (rows-only checks: learners are not SQL) ----
+# Small settings keep the registry quick; the library defaults are the
+# reference's (200 trees, 300 boosting rounds, 1000 LR iterations).
+QUICK = dict(lr_max_iter=100, rf_trees=20, gbt_rounds=10)
+
+
+def _prepared(s, d):
+    from ..plans import models as MO
+    return MO.prepare(_m(s, d, "pandas"))
+
+
+@register("model_comparison")
+def _model_comparison(s, d):
+    from ..plans import models as MO
+    res = MO.train_and_compare(_prepared(s, d), MO.ModelSettings(**QUICK))
+    return res.comparison.withColumn("is_best", (F.col("model") == F.lit(res.best)).cast("int"))
+
+
+@register("feature_importance")
+def _feature_importance(s, d):
+    from ..plans import models as MO
+    return MO.feature_importance(MO.fit_one(_prepared(s, d), settings=MO.ModelSettings(**QUICK)))
+
+
+@register("risk_scores")
+def _risk_scores(s, d):
+    from ..plans import models as MO
+    prep = _prepared(s, d)
+    return MO.score_all(MO.fit_one(prep, settings=MO.ModelSettings(**QUICK)), prep)
+
+
 ORACLE_SQL: dict[str, str] = oracle.QUERIES

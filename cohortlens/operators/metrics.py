@@ -82,8 +82,9 @@ def auc(df: DataFrame, score: str = "score", label: str = "label", places: int |
         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """M7: exact ROC-AUC with ties counted half (Mann-Whitney), one row."""
     c = cumulative(df, score, label, buckets)
-    v = (F.sum(F.col("neg") * (F.col("pos_below") + F.col("pos") * F.lit(0.5)))
-         / (F.max("P").cast("double") * F.max("N").cast("double")))
+    # pairs (positive, negative) with the positive scored higher; ties count half
+    v = (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5)))
+         / F.nullif(F.max("P").cast("double") * F.max("N").cast("double"), F.lit(0.0)))
     out = c.agg(v.alias("auc"))
     return out.select(F.round("auc", places).alias("auc")) if places is not None else out
 
@@ -95,7 +96,8 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "label",
     c = cumulative(df, score, label, buckets)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
-    term = F.when(F.col("pos") > 0, (F.col("pos") / F.col("P")) * (tp / (tp + fp)))
+    term = F.when(F.col("pos") > 0,
+                  (F.col("pos") / F.nullif(F.col("P"), F.lit(0))) * (tp / F.nullif(tp + fp, F.lit(0))))
     out = c.agg(F.sum(term).alias("average_precision"))
     return (out.select(F.round("average_precision", places).alias("average_precision"))
             if places is not None else out)
