@@ -93,15 +93,17 @@ def row_count_audit(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame
              .crossJoin(CO.filter_cohort(tables.studies, **kw).agg(one.alias("cohort_rows")))
              .select(F.lit("studies").alias("table_name"), "raw_rows", "cohort_rows")]
     for name, df in tables.children():
-        parts.append(df.agg(one.alias("raw_rows"))
-                     .crossJoin(CO.semi_reduce(df.select(key), ids, key).agg(one.alias("cohort_rows")))
-                     .select(F.lit(name).alias("table_name"), "raw_rows", "cohort_rows"))
+        c = CO.count_before_after(CO.key_counts(df, key), ids, key)
+        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("raw_rows"),
+                              F.col("after").alias("cohort_rows")))
     for name, df, grain in (("facilities_aggregated", tables.facilities, [key]),
                             ("reported_events_aggregated", tables.reported_events, [key, "event_type"])):
-        g = df.groupBy(*grain).agg(one.alias("_n"))
-        parts.append(g.agg(one.alias("raw_rows"))
-                     .crossJoin(CO.semi_reduce(g.select(key), ids, key).agg(one.alias("cohort_rows")))
-                     .select(F.lit(name).alias("table_name"), "raw_rows", "cohort_rows"))
+        # groups per key, then the same before/after count over them
+        per_key = (df.groupBy(*grain).agg(one.alias("_g")).groupBy(key)
+                   .agg(F.count(F.lit(1)).alias("_rows")))
+        c = CO.count_before_after(per_key, ids, key)
+        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("raw_rows"),
+                              F.col("after").alias("cohort_rows")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -61,17 +61,33 @@ def reduce_children(tables: TrialTables, key: str = "nct_id", **kw) -> TrialTabl
     return tables.replace(studies=filter_cohort(tables.studies, **kw), **reduced)
 
 
+def key_counts(df: DataFrame, key: str = "nct_id") -> DataFrame:
+    """Rows per key (partial aggregation: a hot key costs one row per task)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def count_before_after(per_key: DataFrame, ids: DataFrame, key: str = "nct_id") -> DataFrame:
+    """Total rows, and rows whose key is in ``ids``, from per-key counts.
+
+    The semi-join sees one row per key, never the raw rows of a hot key."""
+    total = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("before"))
+    kept = semi_reduce(per_key, ids, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("after"))
+    return total.crossJoin(kept)
+
+
 def semi_child_counts(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
     """Row counts of each child table before and after the semi-join reduction.
 
-    One aggregate per table (each a single scan with partial counting),
-    unioned into one small frame."""
+    Per table: rows per key (one scan, partial counting), then the per-key
+    counts are semi-joined to the cohort; results are unioned into one small
+    frame of one-row aggregates."""
     ids = cohort_ids(tables.studies, key, **kw)
     parts = []
     for name, df in tables.children():
-        before = df.agg(F.count(F.lit(1)).alias("rows_before"))
-        after = semi_reduce(df.select(key), ids, key).agg(F.count(F.lit(1)).alias("rows_after"))
-        parts.append(before.crossJoin(after).select(F.lit(name).alias("table_name"), "rows_before", "rows_after"))
+        per_key = key_counts(df, key)
+        c = count_before_after(per_key, ids, key)
+        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("rows_before"),
+                              F.col("after").alias("rows_after")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
