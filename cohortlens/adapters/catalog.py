@@ -116,6 +116,8 @@ def _ml_features(s, d):
 
 
 register("split_counts")(lambda s, d: FE.split_counts(_features(s, d)))
+register("split_counts_exact")(lambda s, d: FE.split_counts(
+    FE.with_exact_split(FE.ml_features(_m(s, d, "pandas")))))
 register("class_weights")(lambda s, d: FE.class_weights(_features(s, d).where(F.col("is_test") == 0)).select(
     K.TARGET, "n", F.round("balanced_weight", 9).alias("balanced_weight"),
     F.round("boost_weight", 9).alias("boost_weight")))

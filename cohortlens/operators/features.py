@@ -8,7 +8,9 @@ them with medians over all rows before the split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -56,6 +58,48 @@ def with_split(df: DataFrame, key: str = "nct_id", fraction: float = K.TEST_FRAC
     return df.withColumn("is_test", C.in_test_split(key, fraction, seed).cast("int"))
 
 
+def with_exact_split(df: DataFrame, key: str = "nct_id", label: str = K.TARGET,
+                     fraction: float = K.TEST_FRACTION, seed: int = K.SAMPLE_SEED,
+                     bucket_hex_digits: int = 4) -> DataFrame:
+    """M1, exact-count mode: ``ceil(fraction * n)`` test rows, allocated to the
+    classes in proportion (largest remainder, ties by class), each class taking
+    its rows in hash order ``(md5('<seed>:' || id), id)``.
+
+    Distributed: rows are counted per (class, hash bucket) -- at most
+    ``classes x 16**digits`` rows, a bound fixed by construction -- which
+    locates, per class, the one bucket where the test quota runs out. Only
+    rows of that boundary bucket are ranked (a window over about
+    n / 16**digits rows); every other row is decided by comparing buckets."""
+    frac = F.lit(Decimal(str(fraction)))
+    d = (df.withColumn("_h", C.hash_key(key, seed))
+         .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
+    counts = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    cls = counts.groupBy(label).agg(F.sum("_n").alias("_nc"))
+    # one row per class: the allocation needs the grand total next to each class
+    w_all = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cls = (cls.withColumn("_ntot", F.sum("_nc").over(w_all))
+           .withColumn("_ntest", F.ceil(F.col("_ntot") * frac).cast("long"))
+           .withColumn("_base", F.floor(F.col("_ntest") * F.col("_nc") / F.col("_ntot")).cast("long"))
+           .withColumn("_rem", (F.col("_ntest") * F.col("_nc")) % F.col("_ntot")))
+    cls = (cls.withColumn("_extra", F.max("_ntest").over(w_all) - F.sum("_base").over(w_all))
+           .withColumn("_rk", F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label))))
+           .select(label, (F.col("_base") + (F.col("_rk") <= F.col("_extra")).cast("long")).alias("_quota")))
+    w_cum = Window.partitionBy(label).orderBy("_b")
+    bounds = (counts.join(F.broadcast(cls), label)
+              .withColumn("_incl", F.sum("_n").over(w_cum.rowsBetween(Window.unboundedPreceding, 0)))
+              .where((F.col("_incl") >= F.col("_quota")) & (F.col("_quota") > 0))
+              .groupBy(label)
+              .agg(F.min(F.struct("_b", (F.col("_quota") - F.col("_incl") + F.col("_n")).alias("_need")))
+                   .alias("_m"))
+              .select(label, F.col("_m._b").alias("_bb"), F.col("_m._need").alias("_need")))
+    j = d.join(F.broadcast(bounds), label, "left").fillna({"_bb": -1, "_need": 0})
+    clear = j.where(F.col("_b") != F.col("_bb")).withColumn("is_test", (F.col("_b") < F.col("_bb")).cast("int"))
+    w_edge = Window.partitionBy(label, "_b").orderBy("_h", key)
+    edge = (j.where(F.col("_b") == F.col("_bb"))
+            .withColumn("is_test", (F.row_number().over(w_edge) <= F.col("_need")).cast("int")))
+    return clear.unionByName(edge).drop("_h", "_b", "_bb", "_need")
+
+
 def split_counts(df: DataFrame, label: str = K.TARGET) -> DataFrame:
     """Rows per (split, class): the stratification check."""
     return df.groupBy("is_test", label).agg(F.count(F.lit(1)).alias("n"))

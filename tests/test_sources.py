@@ -82,3 +82,9 @@ def test_report_runner_isolates_failures(spark, tmp_path):
     assert set(run.frames) == set(REPORTS) and "broken" in run.errors
     write_reports(run, str(tmp_path / "out"))
     assert set(run.written) == set(REPORTS)
+
+
+def test_pick_columns_tolerates_missing(spark):
+    df = spark.createDataFrame([(1, "a")], "nct_id int, phase string")
+    out = MA.pick_columns(df, ["phase", "no_such", "nct_id"])
+    assert out.columns == ["phase", "nct_id"]
