@@ -39,12 +39,29 @@ def register(name: str):
     return deco
 
 
+# Plan construction of the fixture mapping costs about a second of driver-side
+# analysis; the lazy DataFrames are memoized per (session, directory). This
+# reuses plans only: every execution still reads the whole tables.
+_PLANS: dict = {}
+
+
+def _memo(spark, *key):
+    k = (spark.sparkContext.applicationId, id(spark), *key)
+    return k, _PLANS.get(k)
+
+
 def _t(spark, d):
-    return fixture_tables(spark, d)
+    k, v = _memo(spark, "tables", d)
+    if v is None:
+        v = _PLANS[k] = fixture_tables(spark, d)
+    return v
 
 
 def _m(spark, d, fill="sql"):
-    return MA.master_trial(_t(spark, d), fill=fill)
+    k, v = _memo(spark, "master", d, fill)
+    if v is None:
+        v = _PLANS[k] = MA.master_trial(_t(spark, d), fill=fill)
+    return v
 
 
 # --- cohort, rollups, master -------------------------------------------------

@@ -43,11 +43,16 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder of this session.
 
-    Reads ``spark.checkpoint.dir``; if unset (tests only) sets it to
-    ``fallback`` or a fresh temp folder, and registers it with the context so
-    ``DataFrame.checkpoint()`` and Spark ML ``checkpointInterval`` work."""
+    Reads ``spark.checkpoint.dir``; if unset, sets it to ``fallback`` or, in
+    local mode only (tests), a fresh temp folder; on a cluster an unset value
+    is an error rather than a machine-local folder. Registers the folder with
+    the context so ``DataFrame.checkpoint()`` and Spark ML
+    ``checkpointInterval`` work."""
     d = spark.conf.get(CHECKPOINT_CONF, None)
     if not d:
+        local = spark.sparkContext.master.startswith("local")
+        if fallback is None and not local:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS/S3) for this cluster")
         d = fallback or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
