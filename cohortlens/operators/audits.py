@@ -65,7 +65,7 @@ def sponsor_distribution(studies: DataFrame, sponsors: DataFrame, key: str = "nc
     leads = (sponsors.where((F.col("lead_or_collaborator") == F.lit(lead))
                             & F.col("agency_class").isNotNull())
              .groupBy(key, "agency_class").agg(F.count(F.lit(1)).alias("_rows")))
-    return (leads.join(CO.cohort_ids(studies, key), key, "left_semi")
+    return (CO.restrict_aggregated(leads, CO.cohort_ids(studies, key), key)
             .groupBy("agency_class").agg(F.sum("_rows").alias("n_trials"))
             .orderBy(F.desc("n_trials"), "agency_class"))
 

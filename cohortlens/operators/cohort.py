@@ -61,6 +61,17 @@ def reduce_children(tables: TrialTables, key: str = "nct_id", **kw) -> TrialTabl
     return tables.replace(studies=filter_cohort(tables.studies, **kw), **reduced)
 
 
+def restrict_aggregated(agg: DataFrame, ids: DataFrame, key: str = "nct_id") -> DataFrame:
+    """Keep rows of an already key-aggregated frame whose key is in ``ids``.
+
+    A left-semi join here would be pushed below the aggregation by the
+    optimizer (the key is a grouping column), turning it back into a join over
+    raw child rows where a hot key lands in one task. An inner join against the
+    distinct ids stays above the aggregation: the join sees at most a few rows
+    per key, and AQE still broadcasts the id side when it is measured small."""
+    return agg.join(ids.distinct(), key, "inner")
+
+
 def key_counts(df: DataFrame, key: str = "nct_id") -> DataFrame:
     """Rows per key (partial aggregation: a hot key costs one row per task)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
@@ -71,7 +82,7 @@ def count_before_after(per_key: DataFrame, ids: DataFrame, key: str = "nct_id")
 
     The semi-join sees one row per key, never the raw rows of a hot key."""
     total = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("before"))
-    kept = semi_reduce(per_key, ids, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("after"))
+    kept = restrict_aggregated(per_key, ids, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("after"))
     return total.crossJoin(kept)
 
 

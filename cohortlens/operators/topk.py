@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from . import cohort as CO
 
 
 def withdrawal_reasons(withdrawals: DataFrame, cohort_ids: DataFrame, key: str = "nct_id",
@@ -20,14 +21,15 @@ def withdrawal_reasons(withdrawals: DataFrame, cohort_ids: DataFrame, key: str =
     count and the number of trials affected.
 
     Plan: pre-aggregate (trial, reason) pairs (partial aggregation absorbs a
-    hot trial or a hot reason), semi-join the pairs to the cohort, then group
+    hot trial or a hot reason), restrict the pairs to the cohort (kept above
+    the aggregation, see ``cohort.restrict_aggregated``), then group
     by reason. After the pre-aggregation each (trial, reason) is one row, so
     the distinct-trial count is a plain count."""
     pairs = (withdrawals.where(F.col("reason").isNotNull())
              .select(key, C.normalize_reason("reason").alias("withdrawal_reason"), F.col("count"))
              .groupBy(key, "withdrawal_reason")
              .agg(F.sum("count").alias("pair_count")))
-    return (pairs.join(cohort_ids, key, "left_semi")
+    return (CO.restrict_aggregated(pairs, cohort_ids, key)
             .groupBy("withdrawal_reason")
             .agg(F.sum("pair_count").alias("total_count"),
                  F.count(F.lit(1)).alias("trials_affected"))

@@ -51,3 +51,15 @@ def test_no_python_udf_in_any_query(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     p = plan(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+def test_cohort_restriction_stays_above_preaggregation(spark):
+    """The cohort join must not be pushed below the (trial, reason) and
+    (trial, class) pre-aggregations, or a hot trial's raw rows meet in one task."""
+    from cohortlens.operators import audits as AU
+    t = fixture_tables(spark, SF_SMALL)
+    for df in (TK.withdrawal_reasons(t.drop_withdrawals, CO.cohort_ids(t.studies)),
+               AU.sponsor_distribution(t.studies, t.sponsors),
+               CO.semi_child_counts(t)):
+        p = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftSemi" not in p
