@@ -23,6 +23,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 DEFAULT_BUCKETS = 1024
 
 
@@ -53,7 +55,11 @@ def cumulative(df: DataFrame, score: str = "score", label: str = "label",
     """One row per distinct score with ``pos``, ``neg`` and the exact counts of
     positives/negatives strictly below it (``pos_below``, ``neg_below``) plus
     the class totals ``P`` and ``N``."""
-    g = score_groups(df, score, label)
+    # The distinct-score frame feeds the cut-point job and both sides of the
+    # offset join; its input is usually a model transform. Materialize it once
+    # as a reliable checkpoint in the shared checkpoint folder.
+    checkpoint_dir(df.sparkSession)
+    g = score_groups(df, score, label).checkpoint(eager=True)
     cuts = _cut_points(g, buckets)
     if cuts:
         g = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="score",
@@ -78,15 +84,34 @@ def cumulative(df: DataFrame, score: str = "score", label: str = "label",
                     (F.col("_neg_off") + F.coalesce(F.sum("neg").over(w_in), F.lit(0))).alias("neg_below")))
 
 
+def _auc_expr():
+    # pairs (positive, negative) with the positive scored higher; ties count half
+    return (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5)))
+            / F.nullif(F.max("P").cast("double") * F.max("N").cast("double"), F.lit(0.0)))
+
+
+def _ap_expr():
+    tp = F.col("P") - F.col("pos_below")
+    fp = F.col("N") - F.col("neg_below")
+    return F.sum(F.when(F.col("pos") > 0, (F.col("pos") / F.nullif(F.col("P"), F.lit(0)))
+                        * (tp / F.nullif(tp + fp, F.lit(0)))))
+
+
+def _rounded(df: DataFrame, places: int | None) -> DataFrame:
+    return df if places is None else df.select([F.round(c, places).alias(c) for c in df.columns])
+
+
+def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label",
+                    places: int | None = 9, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """AUC and average precision from one cumulative pass, one row."""
+    c = cumulative(df, score, label, buckets)
+    return _rounded(c.agg(_auc_expr().alias("auc"), _ap_expr().alias("average_precision")), places)
+
+
 def auc(df: DataFrame, score: str = "score", label: str = "label", places: int | None = 9,
         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """M7: exact ROC-AUC with ties counted half (Mann-Whitney), one row."""
-    c = cumulative(df, score, label, buckets)
-    # pairs (positive, negative) with the positive scored higher; ties count half
-    v = (F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") * F.lit(0.5)))
-         / F.nullif(F.max("P").cast("double") * F.max("N").cast("double"), F.lit(0.0)))
-    out = c.agg(v.alias("auc"))
-    return out.select(F.round("auc", places).alias("auc")) if places is not None else out
+    return _rounded(cumulative(df, score, label, buckets).agg(_auc_expr().alias("auc")), places)
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "label",
@@ -94,13 +119,7 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "label",
     """M9: step-wise average precision, sum over distinct thresholds of
     (recall gain) x (precision at that threshold); not the trapezoid area."""
     c = cumulative(df, score, label, buckets)
-    tp = F.col("P") - F.col("pos_below")
-    fp = F.col("N") - F.col("neg_below")
-    term = F.when(F.col("pos") > 0,
-                  (F.col("pos") / F.nullif(F.col("P"), F.lit(0))) * (tp / F.nullif(tp + fp, F.lit(0))))
-    out = c.agg(F.sum(term).alias("average_precision"))
-    return (out.select(F.round("average_precision", places).alias("average_precision"))
-            if places is not None else out)
+    return _rounded(c.agg(_ap_expr().alias("average_precision")), places)
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", places: int | None = 9,
