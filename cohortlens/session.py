@@ -41,6 +41,32 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run (pass as ``extra`` to ``build_session``
+    or to ``spark-submit --conf``).
+
+    Scan splits and shuffle partitions are sized so one task handles about
+    ``target_partition_bytes`` (fits executor memory with room to spill);
+    the shuffle partition count is at least 3 waves of the total cores so AQE
+    can coalesce small partitions and split skewed ones."""
+    cores = max(1, executors * cores_per_executor)
+    shuffle = max(3 * cores, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder of this session.
 
