@@ -49,7 +49,10 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     Scan splits and shuffle partitions are sized so one task handles about
     ``target_partition_bytes`` (fits executor memory with room to spill);
     the shuffle partition count is at least 3 waves of the total cores so AQE
-    can coalesce small partitions and split skewed ones."""
+    can coalesce small partitions and split skewed ones. Joins broadcast a
+    side only after AQE has measured it below 64 MB; explicit broadcasts in
+    this package are bounded by construction (one-row aggregates, per-class
+    tables, <= 1,024 metric ranges)."""
     cores = max(1, executors * cores_per_executor)
     shuffle = max(3 * cores, int(input_bytes // target_partition_bytes))
     return {
@@ -61,6 +64,10 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        # broadcast only from measured runtime sizes (AQE), never from
+        # planner estimates of a side whose real size is unknown
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

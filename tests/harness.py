@@ -56,6 +56,16 @@ def rows_by_name(cols, rows):
     return [cols[i] for i in order], sorted(out, key=lambda r: repr(r))
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "DATE": "date", "BOOLEAN": "boolean", "FLOAT": "float", "SMALLINT": "smallint",
+                 "TIMESTAMP": "timestamp_ntz", "HUGEINT": "hugeint"}
+
+
+def duck_types(con, sql):
+    rel = con.sql(sql)
+    return {c: DUCK_TO_SPARK.get(str(t), str(t).lower()) for c, t in zip(rel.columns, rel.types)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir, tol=0.0):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -68,6 +78,11 @@ def compare(spark, con, name, fn, sql, sf_dir, tol=0.0):
     scols, s = rows_by_name(sdf.columns, srows)
     dcols2, d = rows_by_name(dcols, drows)
     msg = []
+    stypes = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dtypes = duck_types(con, sql)
+    bad_types = {c: (stypes.get(c), dtypes.get(c)) for c in stypes if stypes.get(c) != dtypes.get(c)}
+    if bad_types:
+        msg.append(f"types differ (spark, duck): {bad_types}")
     if scols != dcols2:
         msg.append(f"columns differ: spark={scols} duck={dcols2}")
     if len(s) != len(d):
