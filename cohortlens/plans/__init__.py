@@ -1 +1 @@
-"""End-to-end plans: report runner, model training and scoring, batch pipeline."""
+"""End-to-end plans: ingest, report runner, model training and scoring, the batch run."""
