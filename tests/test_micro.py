@@ -147,3 +147,20 @@ def test_high_risk_score(t):
 def test_reported_events_rollup_null_sum_is_zero(t):
     r = {(x.nct_id, x.event_type): x for x in RO.reported_events_rollup(t.reported_events).collect()}
     assert r[("T1", "serious")].total_affected == 1.0 and r[("T1", "other")].total_at_risk == 3.0
+
+
+def test_metrics_on_empty_input(spark):
+    empty = spark.createDataFrame([], "score double, label int, prediction int")
+    assert ME.auc(empty).first().auc is None
+    assert ME.average_precision(empty).first().average_precision is None
+    assert ME.roc_points(empty).count() == 0
+    assert ME.f1_macro(empty).first().f1_macro == 0.0
+
+
+def test_exact_split_on_empty_and_tiny(spark):
+    from cohortlens.operators import features as FE
+    empty = spark.createDataFrame([], "nct_id long, is_terminated int")
+    assert FE.with_exact_split(empty).count() == 0
+    tiny = spark.createDataFrame([(i, i % 2) for i in range(7)], "nct_id long, is_terminated int")
+    got = FE.with_exact_split(tiny).collect()
+    assert sum(r.is_test for r in got) == 2          # ceil(0.2 * 7)
