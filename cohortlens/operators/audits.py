@@ -86,28 +86,14 @@ def enrollment_stats(cohort: DataFrame, col: str = "enrollment", places: int = 4
 
 def row_count_audit(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
     """Rows per table as loaded and after the cohort reduction, plus the
-    group counts of the two tables the reference aggregates on load."""
+    group counts of the two tables the reference aggregates on load; one plan
+    for all tables (``cohort.table_counts``)."""
     ids = CO.cohort_ids(tables.studies, key, **kw)
-    one = F.count(F.lit(1))
-    parts = [tables.studies.agg(one.alias("raw_rows"))
-             .crossJoin(CO.filter_cohort(tables.studies, **kw).agg(one.alias("cohort_rows")))
-             .select(F.lit("studies").alias("table_name"), "raw_rows", "cohort_rows")]
-    for name, df in tables.children():
-        c = CO.count_before_after(CO.key_counts(df, key), ids, key)
-        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("raw_rows"),
-                              F.col("after").alias("cohort_rows")))
-    for name, df, grain in (("facilities_aggregated", tables.facilities, [key]),
-                            ("reported_events_aggregated", tables.reported_events, [key, "event_type"])):
-        # groups per key, then the same before/after count over them
-        per_key = (df.groupBy(*grain).agg(one.alias("_g")).groupBy(key)
-                   .agg(F.count(F.lit(1)).alias("_rows")))
-        c = CO.count_before_after(per_key, ids, key)
-        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("raw_rows"),
-                              F.col("after").alias("cohort_rows")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    frames = dict(tables.items())
+    frames["facilities_aggregated"] = (tables.facilities, [])
+    frames["reported_events_aggregated"] = (tables.reported_events, ["event_type"])
+    return (CO.table_counts(frames, ids, key)
+            .select("table_name", F.col("before").alias("raw_rows"), F.col("after").alias("cohort_rows")))
 
 
 def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:

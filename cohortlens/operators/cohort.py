@@ -72,34 +72,39 @@ def restrict_aggregated(agg: DataFrame, ids: DataFrame, key: str = "nct_id") ->
     return agg.join(ids.distinct(), key, "inner")
 
 
-def key_counts(df: DataFrame, key: str = "nct_id") -> DataFrame:
-    """Rows per key (partial aggregation: a hot key costs one row per task)."""
+def key_counts(df: DataFrame, key: str = "nct_id", grain=None) -> DataFrame:
+    """Rows per key (or, with ``grain``, distinct ``grain`` groups per key);
+    partial aggregation: a hot key costs one row per task."""
+    if grain is not None:
+        df = df.groupBy(key, *grain).agg(F.lit(1).alias("_g"))
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def count_before_after(per_key: DataFrame, ids: DataFrame, key: str = "nct_id") -> DataFrame:
-    """Total rows, and rows whose key is in ``ids``, from per-key counts.
+def table_counts(frames, ids: DataFrame, key: str = "nct_id") -> DataFrame:
+    """Per named frame: total rows and rows whose key is in ``ids``.
 
-    The semi-join sees one row per key, never the raw rows of a hot key."""
-    total = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("before"))
-    kept = restrict_aggregated(per_key, ids, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("after"))
-    return total.crossJoin(kept)
+    ``frames`` maps a name to a DataFrame, or to ``(DataFrame, grain)`` to
+    count distinct ``grain`` groups instead of rows. All frames become one
+    union of per-(name, key) counts, which is restricted to the cohort once
+    and summed per name: one plan, one cohort join, whatever the number of
+    tables, and the join sees one row per (table, key), never raw rows."""
+    parts = []
+    for name, spec in frames.items():
+        df, grain = spec if isinstance(spec, tuple) else (spec, None)
+        parts.append(key_counts(df, key, grain).select(F.lit(name).alias("table_name"), key, "_rows"))
+    per = parts[0]
+    for p in parts[1:]:
+        per = per.unionByName(p)
+    before = per.groupBy("table_name").agg(F.sum("_rows").cast("long").alias("before"))
+    after = (restrict_aggregated(per, ids, key)
+             .groupBy("table_name").agg(F.sum("_rows").cast("long").alias("after")))
+    return (before.join(after, "table_name", "left")
+            .select("table_name", "before", F.coalesce("after", F.lit(0).cast("long")).alias("after")))
 
 
 def semi_child_counts(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
-    """Row counts of each child table before and after the semi-join reduction.
-
-    Per table: rows per key (one scan, partial counting), then the per-key
-    counts are semi-joined to the cohort; results are unioned into one small
-    frame of one-row aggregates."""
+    """Row counts of each child table before and after the semi-join reduction
+    (C1), from one plan over all eight tables (see ``table_counts``)."""
     ids = cohort_ids(tables.studies, key, **kw)
-    parts = []
-    for name, df in tables.children():
-        per_key = key_counts(df, key)
-        c = count_before_after(per_key, ids, key)
-        parts.append(c.select(F.lit(name).alias("table_name"), F.col("before").alias("rows_before"),
-                              F.col("after").alias("rows_after")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    c = table_counts(dict(tables.children()), ids, key)
+    return c.select("table_name", F.col("before").alias("rows_before"), F.col("after").alias("rows_after"))
