@@ -15,16 +15,21 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "cohortlens", extra: dict | None = None) -> SparkSession:
     """Session tuned for the workloads in this package.
 
     AQE re-plans joins from runtime sizes, coalesces small shuffle partitions
-    and splits skewed ones; the UI stays off (no server/port)."""
+    and splits skewed ones; the UI stays off (no server/port). Pass
+    ``master=None`` (and ``shuffle_partitions=None``) under spark-submit so
+    the cluster's own settings are kept."""
+    b = SparkSession.builder
+    if master is not None:
+        b = b.master(master)
+    if shuffle_partitions is not None:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        b.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
