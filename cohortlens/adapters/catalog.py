@@ -165,6 +165,7 @@ register("metric_auc")(lambda s, d: ME.auc(_lab(s, d)))
 register("metric_avg_precision")(lambda s, d: ME.average_precision(_lab(s, d)))
 register("metric_f1_macro")(lambda s, d: ME.f1_macro(_lab(s, d)))
 register("roc_points")(lambda s, d: ME.roc_points(_lab(s, d)))
+register("roc_points_thinned")(lambda s, d: ME.roc_points(_lab(s, d), thin=True))
 register("classification_report")(lambda s, d: ME.classification_report(_lab(s, d)))
 register("risk_bands")(lambda s, d: pseudo_scored(s, d).select("nct_id", "risk_score", "risk_band",
                                                                "risk_band_ord"))

@@ -51,7 +51,7 @@ def _cut_points(groups: DataFrame, buckets: int) -> list[float]:
 
 
 def cumulative(df: DataFrame, score: str = "score", label: str = "label",
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, with_lower: bool = False) -> DataFrame:
     """One row per distinct score with ``pos``, ``neg`` and the exact counts of
     positives/negatives strictly below it (``pos_below``, ``neg_below``) plus
     the class totals ``P`` and ``N``."""
@@ -78,10 +78,23 @@ def cumulative(df: DataFrame, score: str = "score", label: str = "label",
         F.sum("_bp").over(w_tot).alias("P"),
         F.sum("_bn").over(w_tot).alias("N"))
     w_in = Window.partitionBy("_b").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    extra = []
+    if with_lower:
+        # (pos, neg) of the next lower distinct score: a lag inside the range,
+        # and for a range's lowest score the highest row of the range below
+        # (an edge table of <= buckets rows, broadcast like the offsets)
+        w_edge = Window.orderBy("_b")
+        edges = (g.groupBy("_b").agg(F.max_by(F.struct("pos", "neg"), "score").alias("_top"))
+                 .select("_b", F.lag("_top").over(w_edge).alias("_below_top")))
+        offsets = offsets.join(edges, "_b")
+        w_lag = Window.partitionBy("_b").orderBy("score")
+        lower = F.coalesce(F.lag(F.struct("pos", "neg")).over(w_lag), F.col("_below_top"))
+        extra = [lower.getField("pos").alias("pos_lower"), lower.getField("neg").alias("neg_lower")]
     return (g.join(F.broadcast(offsets), "_b")
             .select("score", "pos", "neg", "P", "N",
                     (F.col("_pos_off") + F.coalesce(F.sum("pos").over(w_in), F.lit(0))).alias("pos_below"),
-                    (F.col("_neg_off") + F.coalesce(F.sum("neg").over(w_in), F.lit(0))).alias("neg_below")))
+                    (F.col("_neg_off") + F.coalesce(F.sum("neg").over(w_in), F.lit(0))).alias("neg_below"),
+                    *extra))
 
 
 def _auc_expr():
@@ -123,10 +136,21 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "label",
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", places: int | None = 9,
-               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, thin: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score as threshold
-    (predict positive when score >= threshold), with the TP/FP counts."""
-    c = cumulative(df, score, label, buckets)
+    (predict positive when score >= threshold), with the TP/FP counts.
+
+    ``thin=True`` drops collinear points as the reference's ROC curves do:
+    in descending threshold order the second difference of the cumulative
+    counts at a threshold is the (pos, neg) of the next lower score minus its
+    own, so a point is dropped exactly when both are equal; the highest and
+    lowest thresholds are always kept."""
+    c = cumulative(df, score, label, buckets, with_lower=thin)
+    if thin:
+        keep = (F.col("pos_lower").isNull()                               # lowest threshold
+                | (F.col("pos_below") + F.col("pos") == F.col("P")) & (F.col("neg_below") + F.col("neg") == F.col("N"))
+                | (F.col("pos") != F.col("pos_lower")) | (F.col("neg") != F.col("neg_lower")))
+        c = c.where(keep)
     tp = (F.col("P") - F.col("pos_below")).cast("long")
     fp = (F.col("N") - F.col("neg_below")).cast("long")
     r = (lambda x: F.round(x, places)) if places is not None else (lambda x: x)

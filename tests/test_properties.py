@@ -84,3 +84,23 @@ def test_reports_invariants_and_repartition(spark):
     b = sorted(map(tuple, SE.phase_segmentation(m.repartition(7, "phase")).collect()))
     assert a == b
     m.unpersist()
+
+
+def sklearn_like_thinned(s, y):
+    """Distinct thresholds kept by a drop-intermediate ROC, computed directly."""
+    s, y = np.asarray(s, float), np.asarray(y)
+    ts = sorted(set(s), reverse=True)
+    tps = np.array([((s >= t) & (y == 1)).sum() for t in ts])
+    fps = np.array([((s >= t) & (y == 0)).sum() for t in ts])
+    keep = np.r_[True, np.logical_or(np.diff(fps, 2), np.diff(tps, 2)), True]
+    return sorted(t for t, k in zip(ts, keep) if k)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(pairs, st.sampled_from([1, 2, 5, 1024]))
+def test_thinned_roc_matches_direct(spark, xs, buckets):
+    df = spark.createDataFrame([(s, y) for s, y in xs], "score double, label int")
+    got = sorted(r.threshold for r in ME.roc_points(df, buckets=buckets, thin=True).collect())
+    s, y = zip(*xs)
+    assert got == sklearn_like_thinned(s, y)
