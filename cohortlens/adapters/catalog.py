@@ -46,7 +46,7 @@ _PLANS: dict = {}
 
 
 def _memo(spark, *key):
-    k = (spark.sparkContext.applicationId, id(spark), *key)
+    k = (id(spark), *key)
     return k, _PLANS.get(k)
 
 

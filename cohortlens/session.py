@@ -88,14 +88,18 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     the context so ``DataFrame.checkpoint()`` and Spark ML
     ``checkpointInterval`` work."""
     d = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return d or ""
     if not d:
-        local = spark.sparkContext.master.startswith("local")
+        local = sc.master.startswith("local")
         if fallback is None and not local:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS/S3) for this cluster")
         d = fallback or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
