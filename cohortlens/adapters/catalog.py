@@ -45,23 +45,21 @@ def register(name: str):
 _PLANS: dict = {}
 
 
-def _memo(spark, *key):
+def _memo(spark, key, build):
+    # the entry keeps a reference to its session, so the id cannot be reused
     k = (id(spark), *key)
-    return k, _PLANS.get(k)
+    hit = _PLANS.get(k)
+    if hit is None or hit[0] is not spark:
+        hit = _PLANS[k] = (spark, build())
+    return hit[1]
 
 
 def _t(spark, d):
-    k, v = _memo(spark, "tables", d)
-    if v is None:
-        v = _PLANS[k] = fixture_tables(spark, d)
-    return v
+    return _memo(spark, ("tables", d), lambda: fixture_tables(spark, d))
 
 
 def _m(spark, d, fill="sql"):
-    k, v = _memo(spark, "master", d, fill)
-    if v is None:
-        v = _PLANS[k] = MA.master_trial(_t(spark, d), fill=fill)
-    return v
+    return _memo(spark, ("master", d, fill), lambda: MA.master_trial(_t(spark, d), fill=fill))
 
 
 # --- cohort, rollups, master -------------------------------------------------
