@@ -152,7 +152,3 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> TrialTables:
         interventions=_interventions(li, t["part"]),
     )
 
-
-def register_views(spark: SparkSession, tables: TrialTables) -> None:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)

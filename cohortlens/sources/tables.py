@@ -33,6 +33,15 @@ class TrialTables:
         d.update(kw)
         return TrialTables(**d)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Register every table as a temp view (``<prefix><table>``) so SQL
+        written against the registry schema runs unchanged on Spark."""
+        names = []
+        for name, df in self.items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
 
 def read_parquet_tables(spark: SparkSession, root: str, names=None) -> TrialTables:
     """A3: ``<root>/<table>.parquet`` for each of the nine tables.

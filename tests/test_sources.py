@@ -103,3 +103,10 @@ def test_registry_export_end_to_end(spark, tmp_path):
     a = MA.master_trial(t).select(*MA.MASTER_TRIAL_COLUMNS)
     b = MA.master_trial(back).select(*MA.MASTER_TRIAL_COLUMNS)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_register_views_for_sql(spark):
+    t = fixture_tables(spark, SF_SMALL)
+    t.register_views()
+    n = spark.sql("SELECT COUNT(*) AS n FROM studies WHERE study_type = 'INTERVENTIONAL'").first().n
+    assert n == t.studies.where("study_type = 'INTERVENTIONAL'").count()
