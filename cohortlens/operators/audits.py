@@ -17,6 +17,7 @@ from .. import constants as K
 from ..functions import columns as C
 from ..sources.tables import TrialTables
 from . import cohort as CO
+from . import quantiles as Q
 
 
 def class_balance(df: DataFrame, by: str = "overall_status") -> DataFrame:
@@ -73,15 +74,17 @@ def sponsor_distribution(studies: DataFrame, sponsors: DataFrame, key: str = "nc
 def enrollment_stats(cohort: DataFrame, col: str = "enrollment", places: int = 4) -> DataFrame:
     """Count, mean, exact median, min, max, sample std over non-null values
     (mean and std rounded to ``places`` so the last float bit does not depend
-    on partitioning)."""
+    on partitioning; the median from ``quantiles.exact_median``)."""
     x = F.col(col)
-    return (cohort.where(x.isNotNull())
-            .agg(F.count(x).alias("n"),
-                 F.round(F.avg(x), places).alias("mean_enrollment"),
-                 F.median(x).alias("median_enrollment"),
-                 F.min(x).alias("min_enrollment"),
-                 F.max(x).alias("max_enrollment"),
-                 F.round(F.stddev_samp(x), places).alias("std_enrollment")))
+    kept = cohort.where(x.isNotNull())
+    stats = kept.agg(F.count(x).alias("n"),
+                     F.round(F.avg(x), places).alias("mean_enrollment"),
+                     F.min(x).alias("min_enrollment"),
+                     F.max(x).alias("max_enrollment"),
+                     F.round(F.stddev_samp(x), places).alias("std_enrollment"))
+    return (stats.crossJoin(Q.exact_median(kept, col, "median_enrollment"))
+            .select("n", "mean_enrollment", "median_enrollment", "min_enrollment", "max_enrollment",
+                    "std_enrollment"))
 
 
 def row_count_audit(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
@@ -99,8 +102,9 @@ def row_count_audit(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame
 def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Fill NULLs of each column with that column's exact median.
 
-    The medians are one aggregate row, broadcast to every task."""
-    med = df.agg(*[F.median(c).alias(f"_med_{c}") for c in columns])
+    The medians (``quantiles.exact_medians``: no single-task merge) are one
+    aggregate row, broadcast to every task."""
+    med = Q.exact_medians(df, list(columns), prefix="_med_")
     out = df.crossJoin(F.broadcast(med))
     return out.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
                         for c in df.columns])

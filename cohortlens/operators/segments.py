@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from . import quantiles as Q
 
 def _done():
     return F.col("overall_status") == F.lit(K.STATUS_COMPLETED)
@@ -73,9 +74,9 @@ def results_compliance(master: DataFrame) -> DataFrame:
 def key_insights(master: DataFrame) -> DataFrame:
     """One row of headline numbers.
 
-    Medians are exact (``median`` keeps a value->count map per task, bounded by
-    the number of distinct values: 0.1-month durations and integer
-    enrollments). The worst sponsor class is the minimum of
+    Medians are exact and distributed (``quantiles.exact_median``: counts per
+    distinct value, prefix sums by range, no single-task merge). The worst
+    sponsor class is the minimum of
     (-rate, class) over the sponsor report; both inputs are one-row
     aggregates, so combining them pairs exactly one row with one row."""
     term, n = F.col("is_terminated"), F.count(F.lit(1))
@@ -88,8 +89,6 @@ def key_insights(master: DataFrame) -> DataFrame:
         C.pct(F.sum("results_posted"), n).alias("results_posted_pct"),
         C.pct(F.count_if(_done() & (F.col("results_posted") == 1)), F.count_if(_done()))
         .alias("results_posted_of_completed_pct"),
-        F.median("duration_months").alias("median_duration_months"),
-        F.median("enrollment_actual").alias("median_actual_enrollment"),
         C.pct(F.count_if(p2 & (term == 1)), F.count_if(p2)).alias("phase2_termination_rate_pct"),
         C.pct(F.count_if(p3 & (term == 1)), F.count_if(p3)).alias("phase3_termination_rate_pct"),
     )
@@ -99,4 +98,6 @@ def key_insights(master: DataFrame) -> DataFrame:
                                     F.col("agency_class").alias("cls"))).alias("w"))
              .select(F.col("w.cls").alias("worst_sponsor_class"),
                      (-F.col("w.neg")).alias("worst_sponsor_rate_pct")))
-    return overall.crossJoin(worst)
+    medians = (Q.exact_median(master, "duration_months", "median_duration_months")
+               .crossJoin(Q.exact_median(master, "enrollment_actual", "median_actual_enrollment")))
+    return overall.crossJoin(medians).crossJoin(worst)

@@ -104,3 +104,15 @@ def test_thinned_roc_matches_direct(spark, xs, buckets):
     got = sorted(r.threshold for r in ME.roc_points(df, buckets=buckets, thin=True).collect())
     s, y = zip(*xs)
     assert got == sklearn_like_thinned(s, y)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.one_of(st.none(), st.integers(-50, 50).map(lambda i: i / 4)), min_size=0, max_size=50),
+       st.sampled_from([1, 3, 1024]))
+def test_exact_median_matches_percentile(spark, xs, buckets):
+    from cohortlens.operators.quantiles import exact_median
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = exact_median(df, "x", buckets=buckets).first().x
+    want = df.agg(F.median("x")).first()[0]
+    assert got == want
