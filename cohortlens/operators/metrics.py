@@ -6,9 +6,9 @@ score into one task, so the prefix sums are computed in two levels:
 
 1. group rows by score (partial aggregation: one row per distinct score);
 2. cut the distinct scores into <= ``buckets`` ranges of about equal size
-   (approximate quantiles over the distinct scores, a bounded list of at most
-   ``buckets - 1`` cut points) and assign each score its range with a JVM
-   binary search (``Bucketizer``);
+   (cut points from a seeded sample of the distinct scores of bounded
+   expected size, as Spark's range partitioner does) and assign each score
+   its range with a JVM binary search (``Bucketizer``);
 3. total each range (<= ``buckets`` rows), prefix-sum those totals in one
    small window, broadcast the offsets back (size bounded by ``buckets``);
 4. a window partitioned by range finishes the exact prefix inside each range.
@@ -36,17 +36,32 @@ def score_groups(df: DataFrame, score: str = "score", label: str = "label") -> D
                  F.count_if(F.col(label) == 0).alias("neg")))
 
 
-def _cut_points(groups: DataFrame, buckets: int) -> list[float]:
-    """At most ``buckets - 1`` increasing cut points (a bounded summary)."""
+def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int = 17) -> list[float]:
+    """At most ``buckets - 1`` increasing cut points over the distinct scores.
+
+    As Spark's range partitioner does: a seeded Bernoulli sample of about
+    ``per_bucket`` values per range (expected size ``buckets * per_bucket``,
+    independent of the data size) is sorted on the driver and cut at equal
+    counts. A global quantile sketch would merge every task's sketch in one
+    reducer instead. The cuts only balance the ranges; results do not depend
+    on them."""
     if buckets <= 1:
         return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = groups.agg(F.percentile_approx("score", probs, 10 * buckets).alias("q")).first()
-    qs = row["q"] if row and row["q"] else []
+    n = groups.count()
+    if n == 0:
+        return []
+    target = buckets * per_bucket
+    src = groups.select("score")
+    if n > target:
+        src = src.sample(withReplacement=False, fraction=target / n, seed=seed)
+    vals = sorted(r[0] for r in src.collect())
     out: list[float] = []
-    for v in qs:
-        if v is not None and (not out or v > out[-1]):
-            out.append(float(v))
+    for i in range(1, buckets):
+        if not vals:
+            break
+        v = float(vals[min(len(vals) - 1, (i * len(vals)) // buckets)])
+        if not out or v > out[-1]:
+            out.append(v)
     return out
 
 

@@ -116,3 +116,17 @@ def test_exact_median_matches_percentile(spark, xs, buckets):
     got = exact_median(df, "x", buckets=buckets).first().x
     want = df.agg(F.median("x")).first()[0]
     assert got == want
+
+
+def test_metrics_exact_when_cut_points_are_sampled(spark):
+    """2,000 distinct scores over 8 ranges: cut points come from a sample
+    (more than 32 values per range); results must still be exact."""
+    rng = np.random.default_rng(3)
+    s = rng.random(2000).round(6)
+    y = (rng.random(2000) < s).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(s, y)], "score double, label int")
+    assert abs(ME.auc(df, buckets=8, places=None).first().auc - brute_auc(s, y)) < 1e-12
+    assert abs(ME.average_precision(df, buckets=8, places=None).first().average_precision
+               - brute_ap(s, y)) < 1e-12
+    from cohortlens.operators.quantiles import exact_median
+    assert exact_median(df, "score", buckets=8).first().score == df.agg(F.median("score")).first()[0]
