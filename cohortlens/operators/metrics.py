@@ -28,12 +28,20 @@ from ..session import checkpoint_dir
 DEFAULT_BUCKETS = 1024
 
 
-def score_groups(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Positives and negatives per distinct score (NULL scores dropped)."""
+def score_groups(df: DataFrame, score: str = "score", label: str = "label",
+                 weight: str | None = None) -> DataFrame:
+    """Positives and negatives per distinct score (NULL scores dropped);
+    with ``weight``, rows are pre-aggregated counts and their weights add."""
+    y = F.col(label)
+    if weight is None:
+        pos, neg = F.count_if(y == 1), F.count_if(y == 0)
+    else:
+        w = F.col(weight).cast("long")
+        pos = F.coalesce(F.sum(F.when(y == 1, w)), F.lit(0).cast("long"))
+        neg = F.coalesce(F.sum(F.when(y == 0, w)), F.lit(0).cast("long"))
     return (df.where(F.col(score).isNotNull())
             .groupBy(F.col(score).alias("score"))
-            .agg(F.count_if(F.col(label) == 1).alias("pos"),
-                 F.count_if(F.col(label) == 0).alias("neg")))
+            .agg(pos.alias("pos"), neg.alias("neg")))
 
 
 def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int = 17) -> list[float]:
@@ -66,7 +74,8 @@ def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int
 
 
 def cumulative(df: DataFrame, score: str = "score", label: str = "label",
-               buckets: int = DEFAULT_BUCKETS, with_lower: bool = False) -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, with_lower: bool = False,
+               weight: str | None = None) -> DataFrame:
     """One row per distinct score with ``pos``, ``neg`` and the exact counts of
     positives/negatives strictly below it (``pos_below``, ``neg_below``) plus
     the class totals ``P`` and ``N``."""
@@ -74,7 +83,7 @@ def cumulative(df: DataFrame, score: str = "score", label: str = "label",
     # offset join; its input is usually a model transform. Materialize it once
     # as a reliable checkpoint in the shared checkpoint folder.
     checkpoint_dir(df.sparkSession)
-    g = score_groups(df, score, label).checkpoint(eager=True)
+    g = score_groups(df, score, label, weight).checkpoint(eager=True)
     cuts = _cut_points(g, buckets)
     if cuts:
         g = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="score",

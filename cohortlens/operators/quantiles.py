@@ -17,14 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .metrics import DEFAULT_BUCKETS, cumulative
 
 
-def exact_median(df: DataFrame, col: str, alias: str | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One row, one column: the exact median of the non-null values (NULL if none)."""
-    x = df.select(F.col(col).cast("double").alias("score"), F.lit(1).alias("label"))
-    c = cumulative(x, "score", "label", buckets)          # pos = rows at the value, P = all rows
+def _median_of_counts(counts: DataFrame, alias: str, buckets: int) -> DataFrame:
+    """Median from (score, _n) rows: one row per distinct value with its count."""
+    x = counts.select("score", F.lit(1).alias("label"), "_n")
+    c = cumulative(x, "score", "label", buckets, weight="_n")   # pos = rows at the value, P = all rows
     lo = F.floor((F.col("P") - 1) / 2)
     hi = F.floor(F.col("P") / 2)
 
@@ -33,15 +33,34 @@ def exact_median(df: DataFrame, col: str, alias: str | None = None,
                             F.col("score")))
 
     return (c.agg(at(lo).alias("_lo"), at(hi).alias("_hi"))
-            .select((F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi")).alias(alias or col)))
+            .select((F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi")).alias(alias)))
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows per (column, non-null value) for several columns in one pass over
+    ``df``, materialized once (a reliable checkpoint): the input -- often a
+    join-heavy master -- is computed once for all medians."""
+    checkpoint_dir(df.sparkSession)
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    stacked = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_col, score)").where(F.col("score").isNotNull())
+    return stacked.groupBy("_col", "score").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], prefix: str = "",
-                  buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """One row with the exact median of each column (``<prefix><col>``); each
-    median is a one-row aggregate, so pairing them pairs single rows."""
+                  buckets: int = DEFAULT_BUCKETS, aliases: Sequence[str] | None = None) -> DataFrame:
+    """One row with the exact median of each column (``<prefix><col>`` or the
+    given ``aliases``); NULL for a column without values. Each median is a
+    one-row aggregate, so pairing them pairs single rows."""
+    counts = value_counts(df, cols)
+    names = list(aliases) if aliases else [prefix + c for c in cols]
     out = None
-    for c in cols:
-        m = exact_median(df, c, prefix + c, buckets)
+    for c, name in zip(cols, names):
+        m = _median_of_counts(counts.where(F.col("_col") == F.lit(c)), name, buckets)
         out = m if out is None else out.crossJoin(m)
     return out
+
+
+def exact_median(df: DataFrame, col: str, alias: str | None = None,
+                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """One row, one column: the exact median of the non-null values (NULL if none)."""
+    return exact_medians(df, [col], buckets=buckets, aliases=[alias or col])

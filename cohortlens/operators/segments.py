@@ -98,6 +98,6 @@ def key_insights(master: DataFrame) -> DataFrame:
                                     F.col("agency_class").alias("cls"))).alias("w"))
              .select(F.col("w.cls").alias("worst_sponsor_class"),
                      (-F.col("w.neg")).alias("worst_sponsor_rate_pct")))
-    medians = (Q.exact_median(master, "duration_months", "median_duration_months")
-               .crossJoin(Q.exact_median(master, "enrollment_actual", "median_actual_enrollment")))
+    medians = Q.exact_medians(master, ["duration_months", "enrollment_actual"],
+                              aliases=["median_duration_months", "median_actual_enrollment"])
     return overall.crossJoin(medians).crossJoin(worst)
