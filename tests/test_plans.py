@@ -63,3 +63,21 @@ def test_cohort_restriction_stays_above_preaggregation(spark):
                CO.semi_child_counts(t)):
         p = df._jdf.queryExecution().optimizedPlan().toString()
         assert "LeftSemi" not in p
+
+
+@pytest.mark.parametrize("name", ["key_insights", "enrollment_stats", "median_fill", "metric_auc", "roc_points"])
+def test_no_single_reducer_sketch_or_map_merge(spark, name):
+    """Medians and metric cut points avoid global percentile/sketch buffers,
+    which merge every task's map in one reducer."""
+    df = E.queries()[name](spark, SF_SMALL)
+    p = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "percentile" not in p and "median(" not in p
+
+
+def test_library_has_no_local_checkpoint_or_local_paths():
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1] / "cohortlens"
+    for f in root.rglob("*.py"):
+        src = f.read_text()
+        assert "localCheckpoint" not in src, f
+        assert "/tmp/" not in src, f
