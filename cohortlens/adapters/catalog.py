@@ -92,6 +92,7 @@ register("high_risk_trials")(lambda s, d: TK.high_risk_trials(_m(s, d)))
 
 # --- audits, distributions, coercions ---------------------------------------
 register("class_balance")(lambda s, d: AU.class_balance(CO.filter_cohort(_t(s, d).studies)))
+register("class_balance_target")(lambda s, d: AU.class_balance(_m(s, d, "pandas"), by=K.TARGET))
 register("null_audit")(lambda s, d: AU.null_audit(CO.filter_cohort(_t(s, d).studies)))
 register("phase_status_crosstab")(lambda s, d: AU.phase_status_crosstab(CO.filter_cohort(_t(s, d).studies)))
 register("sponsor_distribution")(lambda s, d: AU.sponsor_distribution(_t(s, d).studies, _t(s, d).sponsors))
