@@ -68,7 +68,7 @@ def test_bucketed_table(spark, tmp_path):
 
 
 def test_jdbc_options():
-    o = jdbc_options("jdbc:postgresql://h/db", "ctgov.studies", "id", 0, 1000, 8, user="u")
+    o = jdbc_options("jdbc:postgresql://h/db", "registry.studies", "id", 0, 1000, 8, user="u")
     assert o["numPartitions"] == "8" and o["partitionColumn"] == "id" and o["user"] == "u"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="id")
