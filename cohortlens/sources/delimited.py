@@ -51,7 +51,6 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
           .option("header", True).option("sep", sep)
           .option("quote", '"').option("escape", '"')
           .option("multiLine", multiline).option("mode", mode)
-          .option("nullValue", None).option("emptyValue", "")
           .csv(path))
     if na_tokens is not None:
         df = normalize_na(df, na_tokens)
