@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from ..functions.frames import attach_row
 from ..sources.tables import TrialTables
 from . import cohort as CO
 from . import quantiles as Q
@@ -24,7 +25,7 @@ def class_balance(df: DataFrame, by: str = "overall_status") -> DataFrame:
     """Count and % of rows per class (NULL class kept as its own row)."""
     g = df.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     total = g.agg(F.sum("n").alias("_total"))
-    return (g.crossJoin(F.broadcast(total))
+    return (attach_row(g, total)
             .select(by, "n", C.pct("n", "_total").alias("pct")))
 
 
@@ -82,7 +83,7 @@ def enrollment_stats(cohort: DataFrame, col: str = "enrollment", places: int = 4
                      F.min(x).alias("min_enrollment"),
                      F.max(x).alias("max_enrollment"),
                      F.round(F.stddev_samp(x), places).alias("std_enrollment"))
-    return (stats.crossJoin(Q.exact_median(kept, col, "median_enrollment"))
+    return (attach_row(stats, Q.exact_median(kept, col, "median_enrollment"))
             .select("n", "mean_enrollment", "median_enrollment", "min_enrollment", "max_enrollment",
                     "std_enrollment"))
 
@@ -105,7 +106,7 @@ def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The medians (``quantiles.exact_medians``: no single-task merge) are one
     aggregate row, broadcast to every task."""
     med = Q.exact_medians(df, list(columns), prefix="_med_")
-    out = df.crossJoin(F.broadcast(med))
+    out = attach_row(df, med)
     return out.select(*[F.coalesce(F.col(c), F.col(f"_med_{c}")).alias(c) if c in columns else F.col(c)
                         for c in df.columns])
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from ..functions.frames import attach_row
 from .audits import median_fill
 
 IMPUTED = ("number_of_arms", "duration_months")
@@ -112,7 +113,7 @@ def class_weights(train: DataFrame, label: str = K.TARGET) -> DataFrame:
     tot = g.agg(F.sum("n").alias("_total"),
                 F.sum(F.when(F.col(label) == 1, F.col("n"))).alias("_pos"),
                 F.sum(F.when(F.col(label) == 0, F.col("n"))).alias("_neg"))
-    return (g.crossJoin(F.broadcast(tot))
+    return (attach_row(g, tot)
             .select(label, "n",
                     (F.col("_total").cast("double") / (F.lit(2.0) * F.col("n"))).alias("balanced_weight"),
                     F.when(F.col(label) == 1, F.col("_neg").cast("double") / F.nullif(F.col("_pos"), F.lit(0)))

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.frames import attach_row
 from ..session import checkpoint_dir
 from .metrics import DEFAULT_BUCKETS, cumulative
 
@@ -56,7 +57,7 @@ def exact_medians(df: DataFrame, cols: Sequence[str], prefix: str = "",
     out = None
     for c, name in zip(cols, names):
         m = _median_of_counts(counts.where(F.col("_col") == F.lit(c)), name, buckets)
-        out = m if out is None else out.crossJoin(m)
+        out = m if out is None else attach_row(out, m)
     return out
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
+from ..functions.frames import attach_row
 from . import quantiles as Q
 
 def _done():
@@ -100,4 +101,4 @@ def key_insights(master: DataFrame) -> DataFrame:
                      (-F.col("w.neg")).alias("worst_sponsor_rate_pct")))
     medians = Q.exact_medians(master, ["duration_months", "enrollment_actual"],
                               aliases=["median_duration_months", "median_actual_enrollment"])
-    return overall.crossJoin(medians).crossJoin(worst)
+    return attach_row(attach_row(overall, medians), worst)

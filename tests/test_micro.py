@@ -164,3 +164,12 @@ def test_exact_split_on_empty_and_tiny(spark):
     tiny = spark.createDataFrame([(i, i % 2) for i in range(7)], "nct_id long, is_terminated int")
     got = FE.with_exact_split(tiny).collect()
     assert sum(r.is_test for r in got) == 2          # ceil(0.2 * 7)
+
+
+def test_attach_row_refuses_multi_row_frames(spark):
+    from cohortlens.functions.frames import attach_row
+    df = spark.range(5)
+    one = df.agg(F.count(F.lit(1)).alias("n"))
+    assert attach_row(df, one).count() == 5
+    with pytest.raises(ValueError):
+        attach_row(df, df.groupBy((F.col("id") % 2).alias("k")).count())
