@@ -80,3 +80,12 @@ def test_exact_split_counts(spark, planted):
     a = sorted(r.nct_id for r in f.where("is_test = 1").select("nct_id").collect())
     b = sorted(r.nct_id for r in again.where("is_test = 1").select("nct_id").collect())
     assert a == b
+
+
+def test_exact_imputer_uses_training_medians(spark, planted):
+    prep = MO.prepare(planted)
+    model = MO.fit_one(prep, settings=MO.ModelSettings(gbt_rounds=3))
+    surrogate = model.stages[0].surrogateDF.first()
+    train = prep.where("is_test = 0")
+    want = train.agg(F.median("number_of_arms"), F.median("duration_months")).first()
+    assert surrogate["number_of_arms"] == want[0] and surrogate["duration_months"] == want[1]
