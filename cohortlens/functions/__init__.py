@@ -1 +1 @@
-"""Scalar column expressions."""
+"""Scalar column expressions (columns) and frame helpers (frames)."""

@@ -1 +1,2 @@
-"""End-to-end plans: ingest, report runner, model training and scoring, the batch run."""
+"""End-to-end plans: ingest (plain and bucketed), the report runner, model
+training and scoring, the batch run, concurrent writes."""

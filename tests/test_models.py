@@ -89,3 +89,9 @@ def test_exact_imputer_uses_training_medians(spark, planted):
     train = prep.where("is_test = 0")
     want = train.agg(F.median("number_of_arms"), F.median("duration_months")).first()
     assert surrogate["number_of_arms"] == want[0] and surrogate["duration_months"] == want[1]
+
+
+def test_prepare_default_split_is_exact(planted):
+    prep = MO.prepare(planted)
+    n = prep.count()
+    assert prep.where("is_test = 1").count() == -(-n * 2 // 10)
