@@ -130,3 +130,27 @@ def test_metrics_exact_when_cut_points_are_sampled(spark):
                - brute_ap(s, y)) < 1e-12
     from cohortlens.operators.quantiles import exact_median
     assert exact_median(df, "score", buckets=8).first().score == df.agg(F.median("score")).first()[0]
+
+
+def test_topk_sample_and_split_independent_of_partitioning(spark):
+    from cohortlens.operators import cohort as CO
+    from cohortlens.operators import distributions as DI
+    from cohortlens.operators import features as FE
+    from cohortlens.operators import topk as TK
+    t = fixture_tables(spark, SF_SMALL)
+    m = MA.master_trial(t).cache()
+    fm = MA.master_funnel(t).cache()
+
+    def answers(parts):
+        mm, ff = m.repartition(parts), fm.repartition(parts)
+        wd = t.drop_withdrawals.repartition(parts)
+        return (
+            [tuple(r) for r in TK.high_risk_trials(mm).collect()],
+            [tuple(r) for r in TK.withdrawal_reasons(wd, CO.cohort_ids(t.studies)).collect()],
+            sorted(tuple(r) for r in DI.duration_scatter_sample(mm).collect()),
+            sorted(r.nct_id for r in FE.with_exact_split(FE.ml_features(ff)).where("is_test = 1").collect()),
+        )
+
+    assert answers(1) == answers(7)
+    m.unpersist()
+    fm.unpersist()
