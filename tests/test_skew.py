@@ -42,3 +42,22 @@ def test_hot_trial_results_exact(spark):
             assert abs(top[r.r].total_count - r.s) < 1e-6 and top[r.r].trials_affected == r.d
     counts = {r.table_name: r for r in AU.row_count_audit(skewed).collect()}
     assert counts["drop_withdrawals"].raw_rows == skewed.drop_withdrawals.count()
+
+
+def test_hot_trial_never_lands_in_one_task(tmp_path):
+    """Task-level check with the large-scale plan shape (no broadcasts, no
+    AQE): the largest shuffle read of any task stays far below the hot
+    trial's raw row count (pre-aggregation before every key exchange)."""
+    import json
+    import os
+    import subprocess
+    import sys
+    from conftest import ROOT
+    logs = tmp_path / "eventlog"
+    logs.mkdir()
+    r = subprocess.run([sys.executable, str(ROOT / "tests" / "skew_probe.py"), "/root/testdata/sf0.01", str(logs)],
+                       capture_output=True, text=True, timeout=600, env=dict(os.environ), cwd=str(tmp_path))
+    assert r.returncode == 0, r.stderr[-2000:]
+    out = json.loads(r.stdout.strip().splitlines()[-1])
+    assert out["hot_rows"] * 3 >= out["rows"]            # the hot trial holds at least a third
+    assert out["max_task_shuffle_read"] < out["hot_rows"] / 10
