@@ -1,5 +1,7 @@
-"""Run withdrawal_reasons over a skewed input with an event log; print the
-largest shuffle read of any task and the hot trial's row count (JSON)."""
+"""Run the top-reasons query and the master build over inputs where one trial
+holds most withdrawal rows (and doubled facility rows), with an event log;
+print the largest shuffle read of any task in those queries and the hot
+trial's row count (JSON)."""
 
 import glob
 import json
@@ -31,18 +33,42 @@ def main(sf_dir, log_dir):
     extra = wd.withColumn("nct_id", F.lit(hot).cast("long"))
     skewed = wd.unionByName(extra).unionByName(extra)
     hot_rows = skewed.where(F.col("nct_id") == hot).count()
-    TK.withdrawal_reasons(skewed, CO.cohort_ids(t.studies)).collect()
+    # materialize the skewed inputs first, so only the measured queries' own
+    # shuffles are counted (the fixture mapping has joins of its own)
+    base = os.path.join(log_dir, "..", "inputs")
+    skewed.write.mode("overwrite").parquet(os.path.join(base, "wd"))
+    fac = t.facilities.unionByName(t.facilities.withColumn("nct_id", F.lit(hot).cast("long")))
+    fac.write.mode("overwrite").parquet(os.path.join(base, "fac"))
+    for name in ("studies", "sponsors", "outcomes"):
+        getattr(t, name).write.mode("overwrite").parquet(os.path.join(base, name))
+    r = lambda n: spark.read.parquet(os.path.join(base, n))
+    tables = t.replace(studies=r("studies"), sponsors=r("sponsors"), outcomes=r("outcomes"),
+                       drop_withdrawals=r("wd"), facilities=r("fac"))
+    from cohortlens.operators import master as MA
+    spark.sparkContext.setJobGroup("measured", "skew probe")
+    TK.withdrawal_reasons(tables.drop_withdrawals, CO.cohort_ids(tables.studies)).collect()
+    MA.master_trial(tables).collect()
     spark.stop()
-    max_read = 0
+    measured, max_read = set(), 0
+    events = []
     for f in glob.glob(os.path.join(log_dir, "*")):
-        if os.path.isdir(f):
-            continue
-        for line in open(f):
-            e = json.loads(line)
-            if e.get("Event") == "SparkListenerTaskEnd":
-                m = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
-                max_read = max(max_read, m.get("Total Records Read", 0))
-    print(json.dumps({"rows": 3 * n, "hot_rows": hot_rows, "max_task_shuffle_read": max_read}))
+        if not os.path.isdir(f):
+            events += [json.loads(line) for line in open(f)]
+    for e in events:
+        if e.get("Event") == "SparkListenerJobStart" and \
+                (e.get("Properties") or {}).get("spark.jobGroup.id") == "measured":
+            measured.update(e.get("Stage IDs", []))
+    per_stage = {}
+    for e in events:
+        if e.get("Event") == "SparkListenerTaskEnd" and e.get("Stage ID") in measured:
+            m = (e.get("Task Metrics") or {}).get("Shuffle Read Metrics") or {}
+            rec = m.get("Total Records Read", 0)
+            max_read = max(max_read, rec)
+            per_stage[e["Stage ID"]] = max(per_stage.get(e["Stage ID"], 0), rec)
+    if os.environ.get("SKEW_PROBE_DEBUG"):
+        print(json.dumps(per_stage), file=sys.stderr)
+    print(json.dumps({"rows": 3 * n, "hot_rows": hot_rows, "max_task_shuffle_read": max_read,
+                      "measured_stages": len(measured)}))
 
 
 if __name__ == "__main__":

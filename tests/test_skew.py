@@ -46,8 +46,9 @@ def test_hot_trial_results_exact(spark):
 
 def test_hot_trial_never_lands_in_one_task(tmp_path):
     """Task-level check with the large-scale plan shape (no broadcasts, no
-    AQE): the largest shuffle read of any task stays far below the hot
-    trial's raw row count (pre-aggregation before every key exchange)."""
+    AQE) for the top-reasons query and the master build: the largest shuffle
+    read of any task stays far below the hot trial's raw row count
+    (pre-aggregation before every key exchange)."""
     import json
     import os
     import subprocess
@@ -60,4 +61,7 @@ def test_hot_trial_never_lands_in_one_task(tmp_path):
     assert r.returncode == 0, r.stderr[-2000:]
     out = json.loads(r.stdout.strip().splitlines()[-1])
     assert out["hot_rows"] * 3 >= out["rows"]            # the hot trial holds at least a third
-    assert out["max_task_shuffle_read"] < out["hot_rows"] / 10
+    # the largest read is the master's final join stage: five one-row-per-trial
+    # sides for its partition; a plan that shuffled raw rows by trial would put
+    # every hot row (more than 4x this bound) into one task
+    assert out["max_task_shuffle_read"] < out["hot_rows"] / 4
