@@ -7,9 +7,6 @@ absent (tests, a laptop) do we fall back to a directory the caller gives us.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -79,30 +76,22 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     }
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder of this session.
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
+    """The checkpoint folder of this session, registered with the context.
 
-    Reads ``spark.checkpoint.dir``; if unset, sets it to ``fallback`` or, in
-    local mode only (tests), a fresh temp folder; on a cluster an unset value
-    is an error rather than a machine-local folder. Registers the folder with
-    the context so ``DataFrame.checkpoint()`` and Spark ML
-    ``checkpointInterval`` work."""
-    d = spark.conf.get(CHECKPOINT_CONF, None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
-        return d or ""
+    A folder already set on the context wins; then ``spark.checkpoint.dir``
+    as read from the session; then the explicit ``folder``. With none of them
+    a local master (tests, one machine) uses a folder inside the session's
+    warehouse, and a cluster is an error: its executors need a shared folder.
+    The session's configuration is only read, never changed."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = spark.conf.get(CHECKPOINT_CONF, None) or folder
     if not d:
-        local = sc.master.startswith("local")
-        if fallback is None and not local:
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS/S3) for this cluster")
-        d = fallback or tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
-    return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-path of the shared checkpoint folder for a written intermediate."""
-    return os.path.join(checkpoint_dir(spark), name)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
