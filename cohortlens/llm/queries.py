@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, quality
+from . import fingerprints, quality, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -33,3 +33,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     (F.col("failure_bits").bitwiseAND(base) != 0).alias("base_failed"),
                     "kept", "failure_bits"))
+
+
+@register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
