@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, quality, toxicity
+from . import fingerprints, neardup, quality, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -25,6 +25,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.jaccard_join(read_table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.quality_ledger(read_table(spark, sf_dir, "documents"))
