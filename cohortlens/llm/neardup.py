@@ -192,11 +192,11 @@ def _verifier(threshold: float):
     return verify
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id, n_copies (rows with the same shingles, itself
-    included) and n_links (other rows with similarity of at least the
-    threshold). Runs jobs; sketches and edges are checkpointed."""
+def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
+            text_col: str) -> tuple[DataFrame, DataFrame, bool]:
+    """Sketches (doc_id, hash, key, n) of all rows; per key its copies, links
+    to other keys, first row, class id and the class's first row; whether some
+    (id, text) comes up twice."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
@@ -230,7 +230,8 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     texts = (base.alias("d").join(members.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id"))
                                   & (F.col("d.hash") == F.col("m.hash")))
              .select("m.key", "m.root", "m.copies", "m.blocks", "m.block", "d.text"))
-    texts = texts.dropDuplicates(["key"]) if _has_repeated_ids(sketches) else texts
+    repeated = bool(sketches.groupBy("doc_id", "hash").count().where("count > 1").head(1))
+    texts = texts.dropDuplicates(["key"]) if repeated else texts
     tasks = (texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", "root", "copies", "block", "text",
                      F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "blocks")
@@ -242,12 +243,23 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
     classes = components(verified.select(F.col("key").alias("a"), F.col("near").alias("b")))
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
 
-    per_entry = (entries.select("key", "copies", "least_id").join(links, "key", "left")
+    per_entry = (entries.select("key", "copies", "first", "least_id").join(links, "key", "left")
                  .join(classes.withColumnRenamed("vertex", "key"), "key", "left")
-                 .select("key", "copies", "least_id", F.coalesce("links", F.lit(0)).alias("links"), "root"))
-    least = (per_entry.where("root is not null").groupBy("root").agg(F.min("least_id").alias("class_id")))
+                 .select("key", "copies", "first", "least_id", F.coalesce("links", F.lit(0)).alias("links"), "root"))
+    least = (per_entry.where("root is not null").groupBy("root")
+             .agg(F.min("least_id").alias("class_id"), F.min("first").alias("kept")))
     per_entry = (per_entry.join(least, "root", "left")
-                 .select("key", "copies", "links", F.coalesce("class_id", "least_id").alias("class_id")))
+                 .select("key", "copies", "links", "first", F.coalesce("kept", "first").alias("kept"),
+                         F.coalesce("class_id", "least_id").alias("class_id")))
+    return sketches, per_entry, repeated
+
+
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
+                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id, n_copies (rows with the same shingles, itself
+    included) and n_links (other rows with similarity of at least the
+    threshold). Runs jobs; sketches and edges are checkpointed."""
+    sketches, per_entry, _ = _joined(docs, threshold, recall, id_col, text_col)
     return (sketches.select("doc_id", "key").join(per_entry, "key", "left")
             .select(F.col("doc_id").alias(id_col),
                     F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
@@ -255,17 +267,17 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
                     F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0)).cast("long").alias("n_links")))
 
 
-def _has_repeated_ids(sketches: DataFrame) -> bool:
-    """Whether some (id, text) comes up twice; then texts fetched by it do."""
-    return bool(sketches.groupBy("doc_id", "hash").count().where("count > 1").head(1))
-
-
-def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Of each class the document with the smallest id (rows that repeat that
-    id with another text of the class stay out too), with its own columns.
-    Rows without an id have no rank among others and are kept."""
-    found = jaccard_join(docs).select(F.col("doc_id").alias("__id"), F.col("class_id").alias("__class"))
-    first = found.where("__id = __class").select("__id").distinct()
-    kept = docs.where(F.col("doc_id").isNull()).unionByName(
-        docs.join(first, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"]))
-    return kept
+def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = TARGET_RECALL,
+                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of each class the row with the smallest id (null first), with its own
+    columns; rows without words are all kept."""
+    _, per_entry, repeated = _joined(docs, threshold, recall, id_col, text_col)
+    kept = per_entry.where("first = kept").select(
+        F.col("kept.doc_id").alias("__id"), F.col("kept.hash").alias("__hash"))
+    text = text_or_empty(F.col(text_col))
+    worded = docs.where(text.rlike(WORD))
+    if repeated:
+        worded = worded.dropDuplicates([id_col, text_col])
+    found = worded.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
+                        & (F.xxhash64(text) == F.col("__hash")), "left_semi")
+    return found.unionByName(docs.where(~text.rlike(WORD)))

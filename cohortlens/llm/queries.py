@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, neardup, quality, toxicity
+from . import fingerprints, neardup, packing, quality, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -25,6 +26,12 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op2_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @register
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.jaccard_join(read_table(spark, sf_dir, "documents"))
