@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm, neardup, packing, quality, toxicity
+from . import fingerprints, lm, neardup, packing, quality, token_files, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -37,6 +37,12 @@ def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.document_scores(read_table(spark, sf_dir, "documents"), lm.held_out_fold(F.col("doc_id")))
 
 
+@register
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_ids_by_key(read_table(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("byte_bpe_50k.json"))
+
+
 @register
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.jaccard_join(read_table(spark, sf_dir, "documents"))
