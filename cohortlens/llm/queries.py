@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, lm, neardup, packing, quality, token_files, toxicity
+from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_files, toxicity
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -48,6 +48,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.token_digests(read_table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @register
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality.quality_ledger(read_table(spark, sf_dir, "documents"))
