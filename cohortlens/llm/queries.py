@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_files, toxicity
+from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_files, toxicity, url_filter
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -43,6 +43,16 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         public_tokenizers.path("byte_bpe_50k.json"))
 
 
+# The rules that the urls are judged by.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+@register
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), [url_filter.parse_rule(*r) for r in URL_RULES])
+
+
 @register
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.jaccard_join(read_table(spark, sf_dir, "documents"))

@@ -60,4 +60,27 @@ ORACLE_SQL = {
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failure_bits & 3) <> 0 AS base_failed, failure_bits = 0 AS kept, failure_bits
 FROM ledger""",
+    "op6_url_rules": r"""
+WITH cut AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest
+    FROM pages
+),
+parts AS (
+    SELECT page_id, lower(regexp_extract(rest, '^([^/?#]*)', 1)) AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+),
+rules(verdict, host, path) AS (VALUES
+    ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+    ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+),
+fits AS (
+    SELECT p.page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+           arg_max(r.verdict, length(r.host || r.path)) AS verdict
+    FROM parts p JOIN rules r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.page_id
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f USING (page_id)""",
 }
