@@ -46,8 +46,13 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (little-endian 32-bit) and the count of each text."""
         words, per_text = [], np.empty(len(texts), np.int64)
+        opened = np.zeros(len(texts), bool)       # by a space, as inside a longer text
         for k, t in enumerate(texts):
-            part = t.replace("\n", " \n ").split(" ") if t else []
+            if t[:1] == " ":
+                opened[k], t = True, t[1:]
+                part = t.replace("\n", " \n ").split(" ")
+            else:
+                part = t.replace("\n", " \n ").split(" ") if t else []
             per_text[k] = len(part)
             words += part
         codes, distinct = pd.factorize(np.array(words + [None], dtype=object)[:-1])
@@ -60,7 +65,7 @@ class PieceEncoder:
         # a piece starts with the space that the split took away, unless it
         # opens a text or stands beside a line break
         spaced = np.ones(len(codes), bool)
-        spaced[starts[:-1][per_text > 0]] = False
+        spaced[starts[:-1][per_text > 0]] = opened[per_text > 0]
         brk = np.array([w == "\n" for w in distinct], bool)[codes] if len(codes) else np.empty(0, bool)
         spaced[brk] = False
         spaced[1:][brk[:-1]] = False

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_files, toxicity, url_filter
+from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_counts, token_files, toxicity, url_filter
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -37,6 +37,13 @@ def op3_ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.document_scores(read_table(spark, sf_dir, "documents"), lm.held_out_fold(F.col("doc_id")))
 
 
+@register
+def op4_edited_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_edited(
+        read_table(spark, sf_dir, "documents"), token_counts.sample_edits(F.col("text")),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @register
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_ids_by_key(read_table(spark, sf_dir, "documents"),
