@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
 from ..functions import columns as C
@@ -22,9 +23,11 @@ from ..operators import features as FE
 from ..operators import funnel as FU
 from ..operators import master as MA
 from ..operators import metrics as ME
+from ..operators import quantiles as QU
 from ..operators import rollups as RO
 from ..operators import segments as SE
 from ..operators import topk as TK
+from ..sources.delimited import parse_delimited
 from . import oracle
 from .fixtures import fixture_tables
 
@@ -39,27 +42,12 @@ def register(name: str):
     return deco
 
 
-# Plan construction of the fixture mapping costs about a second of driver-side
-# analysis; the lazy DataFrames are memoized per (session, directory). This
-# reuses plans only: every execution still reads the whole tables.
-_PLANS: dict = {}
-
-
-def _memo(spark, key, build):
-    # the entry keeps a reference to its session, so the id cannot be reused
-    k = (id(spark), *key)
-    hit = _PLANS.get(k)
-    if hit is None or hit[0] is not spark:
-        hit = _PLANS[k] = (spark, build())
-    return hit[1]
-
-
 def _t(spark, d):
-    return _memo(spark, ("tables", d), lambda: fixture_tables(spark, d))
+    return fixture_tables(spark, d)
 
 
 def _m(spark, d, fill="sql"):
-    return _memo(spark, ("master", d, fill), lambda: MA.master_trial(_t(spark, d), fill=fill))
+    return MA.master_trial(_t(spark, d), fill=fill)
 
 
 # --- cohort, rollups, master -------------------------------------------------
@@ -102,8 +90,41 @@ register("median_fill")(lambda s, d: AU.median_fill(
     _m(s, d).select("nct_id", "number_of_arms", "duration_months"), ["number_of_arms", "duration_months"]))
 register("enrollment_histogram")(lambda s, d: DI.enrollment_histogram(_m(s, d)))
 register("duration_scatter_sample")(lambda s, d: DI.duration_scatter_sample(_m(s, d)))
-register("na_tokens")(lambda s, d: AU.na_token_audit(_t(s, d).studies, columns=[
-    "overall_status", "phase", "enrollment_type", "study_type", "why_stopped", "has_expanded_access"]))
+TEXT_COLUMNS = ("overall_status", "phase", "enrollment_type", "study_type", "why_stopped", "has_expanded_access")
+
+
+@register("na_tokens")
+def _na_tokens(s, d):
+    """A2 over the studies with a missing-value token planted in one column
+    after the other, in every 7th trial."""
+    st = _t(s, d).studies
+    tokens = F.lit(list(K.NA_TOKENS))
+    planted = [F.when(F.pmod("nct_id", F.lit(7)) == i, F.element_at(
+        tokens, (F.pmod("nct_id", F.lit(len(K.NA_TOKENS))) + 1).cast("int"))).otherwise(F.col(c)).alias(c)
+        for i, c in enumerate(TEXT_COLUMNS)]
+    return AU.na_token_audit(st.select("nct_id", *planted), columns=list(TEXT_COLUMNS))
+
+
+@register("delimited_by_name")
+def _delimited_by_name(s, d):
+    """A1: the studies rendered as delimited records, columns reordered, with
+    an extra column of quoted pipes, quotes and line breaks and with planted
+    missing tokens, then parsed by the reader's own code."""
+    st = _t(s, d).studies
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = {
+        "id": F.monotonically_increasing_id().cast("string"),
+        "brief_title": quoted(F.concat_ws("", F.lit('a|"b"'), F.lit("\n"), F.col("nct_id").cast("string"))),
+        "why_stopped": F.when(F.col("nct_id") % 5 == 0, F.lit("N/A")).otherwise(
+            quoted(F.concat(F.lit("x|"), F.col("why_stopped")))),
+        "phase": F.col("phase"), "nct_id": F.col("nct_id").cast("string"),
+        "enrollment": F.when(F.col("nct_id") % 6 == 0, F.lit("many")).otherwise(F.col("enrollment").cast("string")),
+        "start_date": F.col("start_date").cast("string")}
+    lines = st.select(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in fields.values()]).alias("line"))
+    schema = T.StructType([T.StructField("nct_id", T.LongType()), T.StructField("start_date", T.DateType()),
+                           T.StructField("enrollment", T.DoubleType()), T.StructField("brief_title", T.StringType()),
+                           T.StructField("why_stopped", T.StringType()), T.StructField("phase", T.StringType())])
+    return parse_delimited(lines, list(fields), schema)
 
 
 @register("date_coerce")
@@ -144,13 +165,19 @@ SCORED_COLUMNS = ("nct_id", "overall_status", "is_terminated", "phase", "agency_
                   "duration_months", "site_count", "total_withdrawals", "risk_score", "risk_band")
 
 
+def pseudo_score(id_col: str = "nct_id", label: str = "is_terminated"):
+    """Deterministic test score: ``s = (id*7919 % 1000)/1000``; positives -> (s+1)/2."""
+    s = (F.col(id_col).cast("long") * F.lit(7919) % F.lit(1000)).cast("double") / F.lit(1000.0)
+    return F.when(F.col(label) == F.lit(1), (s + F.lit(1.0)) / F.lit(2.0)).otherwise(s)
+
+
 def pseudo_scored(s, d):
     """The scored table with the deterministic pseudo-score in place of a
     model's probability (FIXTURES.md §4), plus ``is_test`` and ``prediction``."""
     m = _m(s, d, "pandas")
     sc = m.select("nct_id", "overall_status", "is_terminated", "phase", "agency_class", "enrollment",
                   "duration_months", F.col("site_count").cast("double").alias("site_count"),
-                  "total_withdrawals", C.pseudo_score().alias("risk_score"))
+                  "total_withdrawals", pseudo_score().alias("risk_score"))
     sc = BA.with_bands(sc)
     return FE.with_split(sc).withColumn("prediction", (F.col("risk_score") >= 0.5).cast("int"))
 
@@ -186,15 +213,11 @@ register("dash_phase")(lambda s, d: DB.view(_cube(s, d), "phase"))
 register("dash_sponsor")(lambda s, d: DB.view(_cube(s, d), "sponsor"))
 register("dash_bands")(lambda s, d: DB.view(_cube(s, d), "bands"))
 register("dash_cross_filter")(lambda s, d: DB.views_long(DB.dashboard_views(
-    _cube(s, d), {"sponsor": F.col("agency_class") == "OTHER"})))
+    DB.materialized(_cube(s, d)), {"sponsor": F.col("agency_class") == "OTHER"})))
 
 
 # --- model training and scoring (rows-only checks: learners are not SQL) ----
-# Small settings keep the registry quick; the library defaults are the
-# reference's (200 trees, 300 boosting rounds, 1000 LR iterations).
-QUICK = dict(lr_max_iter=100, rf_trees=20, gbt_rounds=10)
-
-
+# The library's default settings, on all rows.
 def _prepared(s, d):
     from ..plans import models as MO
     return MO.prepare(_m(s, d, "pandas"))
@@ -203,21 +226,38 @@ def _prepared(s, d):
 @register("model_comparison")
 def _model_comparison(s, d):
     from ..plans import models as MO
-    res = MO.train_and_compare(_prepared(s, d), MO.ModelSettings(**QUICK))
+    res = MO.train_and_compare(_prepared(s, d))
     return res.comparison.withColumn("is_best", (F.col("model") == F.lit(res.best)).cast("int"))
 
 
 @register("feature_importance")
 def _feature_importance(s, d):
     from ..plans import models as MO
-    return MO.feature_importance(MO.fit_one(_prepared(s, d), settings=MO.ModelSettings(**QUICK)))
+    return MO.feature_importance(MO.fit_one(_prepared(s, d)))
 
 
 @register("risk_scores")
 def _risk_scores(s, d):
     from ..plans import models as MO
     prep = _prepared(s, d)
-    return MO.score_all(MO.fit_one(prep, settings=MO.ModelSettings(**QUICK)), prep)
+    return MO.score_all(MO.fit_one(prep), prep)
+
+
+@register("imputer_medians")
+def _imputer_medians(s, d):
+    """M2: the medians that the imputer takes from the training rows."""
+    train = _features(s, d).where(F.col("is_test") == 0)
+    return QU.exact_medians(train, list(FE.IMPUTED))
+
+
+@register("risk_scores_columns")
+def _risk_scores_columns(s, d):
+    """M14 without its learned values: the deterministic columns of the scored
+    cohort, and whether the score is a probability and agrees with its band."""
+    scored = QUERIES["risk_scores"](s, d)
+    fits = F.col("risk_score").between(0, 1) & C.band("risk_score").eqNullSafe(F.col("risk_band"))
+    return scored.select("nct_id", "overall_status", "is_terminated", "phase", "agency_class", "enrollment",
+                         "duration_months", "total_withdrawals", fits.alias("score_fits"))
 
 
 ORACLE_SQL: dict[str, str] = oracle.QUERIES

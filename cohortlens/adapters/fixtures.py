@@ -58,13 +58,12 @@ def _studies(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def _sponsors(orders, lineitem, customer, supplier) -> DataFrame:
     seg = F.col("c_mktsegment")
     from_customers = (
-        orders.where(F.col("o_orderkey") % 19 != 0)
-        .join(customer, F.col("c_custkey") == F.col("o_custkey"))
+        orders.join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .select(
             F.col("o_orderkey").alias("nct_id"),
             F.when(seg == "AUTOMOBILE", "INDUSTRY").when(seg == "BUILDING", "NIH")
             .when(seg == "FURNITURE", "FED").when(seg == "MACHINERY", "INDIV").alias("agency_class"),
-            F.lit("lead").alias("lead_or_collaborator"),
+            F.when(F.col("o_orderkey") % 19 == 0, "collaborator").otherwise("lead").alias("lead_or_collaborator"),
             F.col("c_name").alias("name"),
         )
     )
@@ -92,11 +91,10 @@ def _withdrawals(lineitem) -> DataFrame:
     line, rf = F.col("l_linenumber"), F.col("l_returnflag")
     reason = (F.when(line == 6, F.lit(None).cast("string"))
               .when(rf == "A", " Adverse Event")
-              .when((rf == "R") & (F.col("l_linestatus") == "F"), "withdrawal by subject ")
+              .when((rf == "R") & (F.col("l_linestatus") == "F"), "withdrawal by subject \u00a0")
               .when(rf == "R", "Withdrawal by Subject")
               .otherwise("Lost to Follow-up"))
-    return (lineitem.where(line >= 3)
-            .select(F.col("l_orderkey").alias("nct_id"), F.lit("Overall Study").alias("period"),
+    return (lineitem.select(F.col("l_orderkey").alias("nct_id"), F.lit("Overall Study").alias("period"),
                     reason.alias("reason"),
                     F.when(line != 5, F.col("l_quantity")).cast("double").alias("count")))
 
@@ -105,8 +103,7 @@ def _outcomes(lineitem) -> DataFrame:
     otype = (F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
              .when(F.col("l_linestatus") == "F", "PRIMARY").otherwise("SECONDARY"))
     none = F.lit(None).cast("string")
-    return (lineitem.where(F.col("l_tax") <= 0.05)
-            .select(F.col("l_orderkey").alias("nct_id"), otype.alias("outcome_type"),
+    return (lineitem.select(F.col("l_orderkey").alias("nct_id"), otype.alias("outcome_type"),
                     none.alias("title"), none.alias("time_frame"), none.alias("population")))
 
 
@@ -123,8 +120,7 @@ def _conditions(lineitem, part) -> DataFrame:
 
 
 def _interventions(lineitem, part) -> DataFrame:
-    return (lineitem.where(F.col("l_linenumber") <= 2)
-            .join(part, F.col("p_partkey") == F.col("l_partkey"))
+    return (lineitem.join(part, F.col("p_partkey") == F.col("l_partkey"))
             .select(F.col("l_orderkey").alias("nct_id"), F.col("p_type").alias("intervention_type"),
                     F.col("p_name").alias("name")))
 

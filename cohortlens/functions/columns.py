@@ -90,8 +90,9 @@ def log1p0(c: str | Column) -> Column:
 
 
 def normalize_reason(c: str | Column = "reason") -> Column:
-    """Strip all leading/trailing whitespace, then upper-case."""
-    return F.upper(F.regexp_replace(_c(c), r"^\s+|\s+$", ""))
+    """Strip leading/trailing whitespace (Unicode's, as a text strip does), then
+    upper-case."""
+    return F.upper(F.regexp_replace(_c(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
 
 
 def na_to_null(c: str | Column, tokens: Iterable[str] = K.NA_TOKENS) -> Column:
@@ -145,9 +146,3 @@ def in_test_split(id_col: str | Column, fraction: float = K.TEST_FRACTION,
     """M1: hash split; the first 8 hex digits below ``fraction * 16**8`` -> test."""
     bound = format(int(fraction * 16 ** 8), "08x")
     return F.substring(hash_key(id_col, seed), 1, 8) < F.lit(bound)
-
-
-def pseudo_score(id_col: str | Column = "nct_id", label: str | Column = "is_terminated") -> Column:
-    """Deterministic test score: ``s = (id*7919 % 1000)/1000``; positives -> (s+1)/2."""
-    s = (_c(id_col).cast("long") * F.lit(7919) % F.lit(1000)).cast("double") / F.lit(1000.0)
-    return F.when(_c(label) == F.lit(1), (s + F.lit(1.0)) / F.lit(2.0)).otherwise(s)

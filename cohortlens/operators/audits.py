@@ -94,8 +94,8 @@ def row_count_audit(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame
     for all tables (``cohort.table_counts``)."""
     ids = CO.cohort_ids(tables.studies, key, **kw)
     frames = dict(tables.items())
-    frames["facilities_aggregated"] = (tables.facilities, [])
-    frames["reported_events_aggregated"] = (tables.reported_events, ["event_type"])
+    frames["facilities"] = (tables.facilities, {"facilities_aggregated": []})
+    frames["reported_events"] = (tables.reported_events, {"reported_events_aggregated": ["event_type"]})
     return (CO.table_counts(frames, ids, key)
             .select("table_name", F.col("before").alias("raw_rows"), F.col("after").alias("cohort_rows")))
 

@@ -62,14 +62,11 @@ def reduce_children(tables: TrialTables, key: str = "nct_id", **kw) -> TrialTabl
 
 
 def restrict_aggregated(agg: DataFrame, ids: DataFrame, key: str = "nct_id") -> DataFrame:
-    """Keep rows of an already key-aggregated frame whose key is in ``ids``.
-
-    A left-semi join here would be pushed below the aggregation by the
-    optimizer (the key is a grouping column), turning it back into a join over
-    raw child rows where a hot key lands in one task. An inner join against the
-    distinct ids stays above the aggregation: the join sees at most a few rows
-    per key, and AQE still broadcasts the id side when it is measured small."""
-    return agg.join(ids.distinct(), key, "inner")
+    """Keep rows of a key-aggregated frame whose key is in ``ids``: a left-semi
+    join. The optimizer moves it below the aggregation only where the id side
+    can be broadcast (it then prunes the scan and no key is shuffled); with a
+    large id side it stays above and meets pre-aggregated rows."""
+    return agg.join(ids, key, "left_semi")
 
 
 def key_counts(df: DataFrame, key: str = "nct_id", grain=None) -> DataFrame:
@@ -83,23 +80,34 @@ def key_counts(df: DataFrame, key: str = "nct_id", grain=None) -> DataFrame:
 def table_counts(frames, ids: DataFrame, key: str = "nct_id") -> DataFrame:
     """Per named frame: total rows and rows whose key is in ``ids``.
 
-    ``frames`` maps a name to a DataFrame, or to ``(DataFrame, grain)`` to
-    count distinct ``grain`` groups instead of rows. All frames become one
-    union of per-(name, key) counts, which is restricted to the cohort once
-    and summed per name: one plan, one cohort join, whatever the number of
-    tables, and the join sees one row per (table, key), never raw rows."""
+    ``frames`` maps a name to a DataFrame, or to ``(DataFrame, grains)`` where
+    ``grains`` maps further names to column lists: each counts the distinct
+    (key, *columns) groups from the same pass. Every frame is scanned once; the
+    per-key counts of all frames meet the flagged ids in one left join, and one
+    aggregation adds up both columns."""
     parts = []
     for name, spec in frames.items():
-        df, grain = spec if isinstance(spec, tuple) else (spec, None)
-        parts.append(key_counts(df, key, grain).select(F.lit(name).alias("table_name"), key, "_rows"))
+        df, grains = spec if isinstance(spec, tuple) else (spec, {})
+        columns = sorted({c for g in grains.values() for c in g})
+        cells = df.groupBy(key, *columns).agg(F.count(F.lit(1)).alias("_n"))
+        counts = [F.struct(F.lit(name).alias("table_name"), F.sum("_n").alias("_rows"))]
+        for extra, g in grains.items():
+            if g and sorted(g) != columns:
+                raise ValueError("a frame's grains must share one column list")
+            groups = F.count(F.lit(1)) if g else F.lit(1).cast("long")
+            counts.append(F.struct(F.lit(extra).alias("table_name"), groups.alias("_rows")))
+        per_key = cells.groupBy(key).agg(F.array(*counts).alias("_c")) if columns or grains else (
+            cells.select(key, F.array(F.struct(F.lit(name).alias("table_name"), F.col("_n").alias("_rows"))).alias("_c")))
+        parts.append(per_key.select(key, F.inline("_c")))
     per = parts[0]
     for p in parts[1:]:
         per = per.unionByName(p)
-    before = per.groupBy("table_name").agg(F.sum("_rows").cast("long").alias("before"))
-    after = (restrict_aggregated(per, ids, key)
-             .groupBy("table_name").agg(F.sum("_rows").cast("long").alias("after")))
-    return (before.join(after, "table_name", "left")
-            .select("table_name", "before", F.coalesce("after", F.lit(0).cast("long")).alias("after")))
+    flagged = ids.select(F.col(key).alias("_id")).distinct()
+    return (per.join(flagged, per[key] == F.col("_id"), "left")
+            .groupBy("table_name")
+            .agg(F.sum("_rows").cast("long").alias("before"),
+                 F.coalesce(F.sum(F.when(F.col("_id").isNotNull(), F.col("_rows"))), F.lit(0))
+                 .cast("long").alias("after")))
 
 
 def semi_child_counts(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:

@@ -39,28 +39,39 @@ MASTER_FUNNEL_COLUMNS = (
 )
 
 
+SITE_COLUMNS = ("site_count", "country_count", "is_multinational")
+
+
 def _joined(tables: TrialTables, key: str, **kw) -> DataFrame:
     base = CO.base_cohort(tables.studies, **kw)
-    df = (base
-          .join(R.lead_sponsor(tables.sponsors, key), key, "left")
-          .join(R.site_summary(tables.facilities, key), key, "left")
-          .join(R.withdrawal_summary(tables.drop_withdrawals, key), key, "left")
-          .join(R.outcome_summary(tables.outcomes, key), key, "left"))
-    return df
+    ids = CO.cohort_ids(tables.studies, key, **kw)
+    # facilities may come as raw rows or, from the load step, one row per trial
+    sites = (tables.facilities if "site_rows" in tables.facilities.columns
+             else R.site_summary(tables.facilities, key))
+    for side in (R.lead_sponsor(tables.sponsors, key), sites, R.withdrawal_summary(tables.drop_withdrawals, key),
+                 R.outcome_summary(tables.outcomes, key)):
+        # with a broadcastable cohort this prunes the child rows before they
+        # are aggregated; otherwise it meets one row per trial
+        base = base.join(CO.restrict_aggregated(side, ids, key), key, "left")
+    return base
 
 
 def master_trial(tables: TrialTables, fill: str = "sql", key: str = "nct_id", **kw) -> DataFrame:
-    """D5, 26 columns (``fill='sql'``) or the same columns with pandas fills."""
+    """D5, 26 columns (``fill='sql'``), the same columns with pandas fills, or
+    (``fill='both'``) the SQL fills plus the three unfilled site columns as
+    ``raw_<name>``, from which ``funnel_of`` takes the other fill."""
     df = _joined(tables, key, **kw)
     days = C.duration_days()
-    if fill == "sql":
+    if fill in ("sql", "both"):
         site = [F.coalesce("site_rows", F.lit(1).cast("long")).alias("site_count"),
                 F.coalesce("country_count", F.lit(1).cast("long")).alias("country_count"),
                 F.coalesce("is_multinational", F.lit(0)).alias("is_multinational")]
     elif fill == "pandas":
-        site = [F.col("site_count"), F.col("country_count"), F.col("is_multinational")]
+        site = [F.col(c) for c in SITE_COLUMNS]
     else:
-        raise ValueError(f"fill must be 'sql' or 'pandas', not {fill!r}")
+        raise ValueError(f"fill must be 'sql', 'pandas' or 'both', not {fill!r}")
+    if fill == "both":
+        site += [F.col(c).alias(f"raw_{c}") for c in SITE_COLUMNS]
     return df.select(
         key, "overall_status", "is_terminated", "phase", "phase_numeric", "enrollment",
         "enrollment_type", C.enrollment_actual().alias("enrollment_actual"),
@@ -84,6 +95,12 @@ def master_funnel(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
     return master_trial(tables, fill="pandas", key=key, **kw).select(*MASTER_FUNNEL_COLUMNS)
 
 
+def funnel_of(both: DataFrame) -> DataFrame:
+    """The 22-column pandas-path master from a ``fill='both'`` master."""
+    return both.select(*[F.col(f"raw_{c}").alias(c) if c in SITE_COLUMNS else F.col(c)
+                         for c in MASTER_FUNNEL_COLUMNS])
+
+
 def master_trial_sql(tables: TrialTables, key: str = "nct_id", **kw) -> DataFrame:
     """The 26 published columns of the SQL path."""
     return master_trial(tables, fill="sql", key=key, **kw).select(*MASTER_TRIAL_COLUMNS)
@@ -95,5 +112,5 @@ def pick_columns(df: DataFrame, wanted) -> DataFrame:
     return df.select([c for c in wanted if c in have])
 
 
-__all__ = ["master_trial", "master_trial_sql", "master_funnel", "pick_columns",
+__all__ = ["master_trial", "master_trial_sql", "master_funnel", "funnel_of", "pick_columns",
            "MASTER_TRIAL_COLUMNS", "MASTER_FUNNEL_COLUMNS"]

@@ -5,7 +5,8 @@ negatives score below it. A single global window would pull every distinct
 score into one task, so the prefix sums are computed in two levels:
 
 1. group rows by score (partial aggregation: one row per distinct score);
-2. cut the distinct scores into <= ``buckets`` ranges of about equal size
+2. cut the distinct scores into ranges of about equal size, by default about
+   ``ROWS_PER_RANGE`` distinct scores each
    (cut points from a seeded sample of the distinct scores of bounded
    expected size, as Spark's range partitioner does) and assign each score
    its range with a JVM binary search (``Bucketizer``);
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-DEFAULT_BUCKETS = 1024
+DEFAULT_BUCKETS = None          # as many ranges as the distinct scores need
+ROWS_PER_RANGE = 100_000        # distinct scores of one range, about
 
 
 def score_groups(df: DataFrame, score: str = "score", label: str = "label",
@@ -44,7 +46,7 @@ def score_groups(df: DataFrame, score: str = "score", label: str = "label",
             .agg(pos.alias("pos"), neg.alias("neg")))
 
 
-def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int = 17) -> list[float]:
+def _cut_points(groups: DataFrame, buckets: int | None, per_bucket: int = 32, seed: int = 17) -> list[float]:
     """At most ``buckets - 1`` increasing cut points over the distinct scores.
 
     As Spark's range partitioner does: a seeded Bernoulli sample of about
@@ -53,15 +55,13 @@ def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int
     counts. A global quantile sketch would merge every task's sketch in one
     reducer instead. The cuts only balance the ranges; results do not depend
     on them."""
-    if buckets <= 1:
-        return []
     n = groups.count()
-    if n == 0:
+    if buckets is None:
+        buckets = -(-n // ROWS_PER_RANGE)
+    if n == 0 or buckets <= 1:
         return []
-    target = buckets * per_bucket
-    src = groups.select("score")
-    if n > target:
-        src = src.sample(withReplacement=False, fraction=target / n, seed=seed)
+    src = groups.select("score").sample(
+        withReplacement=False, fraction=min(1.0, buckets * per_bucket / n), seed=seed)
     vals = sorted(r[0] for r in src.collect())
     out: list[float] = []
     for i in range(1, buckets):
@@ -74,11 +74,12 @@ def _cut_points(groups: DataFrame, buckets: int, per_bucket: int = 32, seed: int
 
 
 def cumulative(df: DataFrame, score: str = "score", label: str = "label",
-               buckets: int = DEFAULT_BUCKETS, with_lower: bool = False,
+               buckets: int | None = DEFAULT_BUCKETS, with_lower: bool = False,
                weight: str | None = None) -> DataFrame:
     """One row per distinct score with ``pos``, ``neg`` and the exact counts of
     positives/negatives strictly below it (``pos_below``, ``neg_below``) plus
-    the class totals ``P`` and ``N``."""
+    the class totals ``P`` and ``N``. Runs jobs when called: the distinct
+    scores are checkpointed, counted and sampled."""
     # The distinct-score frame feeds the cut-point job and both sides of the
     # offset join; its input is usually a model transform. Materialize it once
     # as a reliable checkpoint in the shared checkpoint folder.
@@ -139,20 +140,20 @@ def _rounded(df: DataFrame, places: int | None) -> DataFrame:
 
 
 def ranking_metrics(df: DataFrame, score: str = "score", label: str = "label",
-                    places: int | None = 9, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                    places: int | None = 9, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """AUC and average precision from one cumulative pass, one row."""
     c = cumulative(df, score, label, buckets)
     return _rounded(c.agg(_auc_expr().alias("auc"), _ap_expr().alias("average_precision")), places)
 
 
 def auc(df: DataFrame, score: str = "score", label: str = "label", places: int | None = 9,
-        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+        buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M7: exact ROC-AUC with ties counted half (Mann-Whitney), one row."""
     return _rounded(cumulative(df, score, label, buckets).agg(_auc_expr().alias("auc")), places)
 
 
 def average_precision(df: DataFrame, score: str = "score", label: str = "label",
-                      places: int | None = 9, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                      places: int | None = 9, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """M9: step-wise average precision, sum over distinct thresholds of
     (recall gain) x (precision at that threshold); not the trapezoid area."""
     c = cumulative(df, score, label, buckets)
@@ -160,7 +161,7 @@ def average_precision(df: DataFrame, score: str = "score", label: str = "label",
 
 
 def roc_points(df: DataFrame, score: str = "score", label: str = "label", places: int | None = 9,
-               buckets: int = DEFAULT_BUCKETS, thin: bool = False) -> DataFrame:
+               buckets: int | None = DEFAULT_BUCKETS, thin: bool = False) -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score as threshold
     (predict positive when score >= threshold), with the TP/FP counts.
 

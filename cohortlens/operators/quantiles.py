@@ -22,7 +22,7 @@ from ..session import checkpoint_dir
 from .metrics import DEFAULT_BUCKETS, cumulative
 
 
-def _median_of_counts(counts: DataFrame, alias: str, buckets: int) -> DataFrame:
+def _median_of_counts(counts: DataFrame, alias: str, buckets: int | None) -> DataFrame:
     """Median from (score, _n) rows: one row per distinct value with its count."""
     x = counts.select("score", F.lit(1).alias("label"), "_n")
     c = cumulative(x, "score", "label", buckets, weight="_n")   # pos = rows at the value, P = all rows
@@ -48,10 +48,11 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], prefix: str = "",
-                  buckets: int = DEFAULT_BUCKETS, aliases: Sequence[str] | None = None) -> DataFrame:
+                  buckets: int | None = DEFAULT_BUCKETS, aliases: Sequence[str] | None = None) -> DataFrame:
     """One row with the exact median of each column (``<prefix><col>`` or the
     given ``aliases``); NULL for a column without values. Each median is a
-    one-row aggregate, so pairing them pairs single rows."""
+    one-row aggregate, so pairing them pairs single rows. Runs jobs when called
+    (value counts and cut points)."""
     counts = value_counts(df, cols)
     names = list(aliases) if aliases else [prefix + c for c in cols]
     out = None
@@ -62,6 +63,6 @@ def exact_medians(df: DataFrame, cols: Sequence[str], prefix: str = "",
 
 
 def exact_median(df: DataFrame, col: str, alias: str | None = None,
-                 buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One row, one column: the exact median of the non-null values (NULL if none)."""
     return exact_medians(df, [col], buckets=buckets, aliases=[alias or col])

@@ -12,12 +12,20 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..functions.frames import attach_row
+from ..session import checkpoint_dir
 from . import quantiles as Q
 
+
 def _done():
     return F.col("overall_status") == F.lit(K.STATUS_COMPLETED)
 
 
+def _avg_tenths(col: str):
+    """Mean of a column of one decimal, added up as whole tenths: the sum does
+    not depend on the order of the rows."""
+    return F.sum(F.round(F.col(col) * 10).cast("long")) / F.count(col) / F.lit(10.0)
+
+
 def phase_segmentation(master: DataFrame) -> DataFrame:
     """Per phase totals, rates and averages; ordered by phase code."""
     return (master.groupBy("phase")
@@ -26,7 +34,7 @@ def phase_segmentation(master: DataFrame) -> DataFrame:
                  F.count_if(_done()).alias("completed"),
                  F.sum("results_posted").cast("long").alias("results_posted"),
                  F.avg("enrollment_actual").alias("_enr"),
-                 F.avg("duration_months").alias("_dur"),
+                 _avg_tenths("duration_months").alias("_dur"),
                  F.avg("total_withdrawals").alias("_wd"),
                  F.min("phase_numeric").alias("_ord"))
             .select("phase", "total_trials", "terminated", "completed", "results_posted",
@@ -48,7 +56,7 @@ def sponsor_segmentation(master: DataFrame, min_trials: int | None = None) -> Da
            .agg(F.count(F.lit(1)).alias("total_trials"),
                 F.sum("is_terminated").cast("long").alias("terminated"),
                 F.avg("enrollment_actual").alias("_enr"),
-                F.avg("duration_months").alias("_dur"))
+                _avg_tenths("duration_months").alias("_dur"))
            .select("agency_class", "total_trials", "terminated",
                    C.pct("terminated", "total_trials").alias("termination_rate_pct"),
                    F.round("_enr", 0).alias("avg_actual_enrollment"),
@@ -73,13 +81,17 @@ def results_compliance(master: DataFrame) -> DataFrame:
 
 
 def key_insights(master: DataFrame) -> DataFrame:
-    """One row of headline numbers.
+    """One row of headline numbers. Runs jobs: the few columns it needs are
+    checkpointed once, so the master behind them is computed once.
 
     Medians are exact and distributed (``quantiles.exact_median``: counts per
     distinct value, prefix sums by range, no single-task merge). The worst
     sponsor class is the minimum of
     (-rate, class) over the sponsor report; both inputs are one-row
     aggregates, so combining them pairs exactly one row with one row."""
+    checkpoint_dir(master.sparkSession)
+    master = master.select("phase", "agency_class", "overall_status", "is_terminated", "results_posted",
+                           "primary_completion_date", "duration_months", "enrollment_actual").checkpoint()
     term, n = F.col("is_terminated"), F.count(F.lit(1))
     p2, p3 = F.col("phase") == "PHASE2", F.col("phase") == "PHASE3"
     overall = master.agg(

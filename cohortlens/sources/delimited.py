@@ -1,16 +1,20 @@
 """A1/A2: pipe-delimited registry export -> typed DataFrames.
 
-The export is untyped text. We read it with a fixed schema (no inference
-pass), turn the text tokens pandas treats as missing into NULL, and coerce
-date text to DATE with unparseable values as NULL.
+The export is untyped text with a header. The header line names the columns of
+the file; wanted columns are taken by name, wherever they stand and whatever
+other columns the file has, and a missing one is an error. The text tokens
+pandas treats as missing become NULL, and date text is coerced to DATE with
+unparseable values as NULL.
 
-``multiLine`` parses quoted newlines and doubled quotes but makes a file
-unsplittable (one task per file), so it is used only for the free-text
-tables; convert those to Parquet once and read the Parquet afterwards.
+``multiline`` parses quoted newlines but makes a file unsplittable (one task
+per file), so it is used only for the free-text tables. Elsewhere a record
+that does not have the header's number of fields -- such as one cut by a quoted
+newline -- fails the read instead of passing as two broken rows.
 """
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Iterable
 
@@ -36,26 +40,34 @@ def normalize_na(df: DataFrame, tokens: Iterable[str] = K.NA_TOKENS,
                       for c in df.columns])
 
 
-def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
-                   columns: Iterable[str] | None = None, sep: str = "|",
-                   multiline: bool = False, mode: str = "PERMISSIVE",
-                   na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
-    """A1: header-bearing delimited text with a fixed schema and projection.
+def header_of(spark: SparkSession, path: str, sep: str = "|") -> list[str]:
+    """Column names of a delimited file: its first line, read alone."""
+    first = spark.read.text(path).first()
+    if first is None:
+        raise ValueError(f"{path} has no header line")
+    return next(csv.reader([first[0].lstrip("\ufeff")], delimiter=sep, quotechar='"'))
 
-    Quote and escape are ``"`` so doubled quotes inside quoted fields parse as
-    one quote; a pipe inside quotes stays in the field."""
-    # Read every field as text first so a bad number or date never drops the row;
-    # typed columns are then cast with try_cast (bad text -> NULL).
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    df = (spark.read.schema(text_schema)
-          .option("header", True).option("sep", sep)
-          .option("quote", '"').option("escape", '"')
-          .option("multiLine", multiline).option("mode", mode)
-          .csv(path))
+
+def _text_schema(names: Iterable[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+
+
+def _named(header: list[str], schema: T.StructType, columns: Iterable[str] | None, where: str) -> list[T.StructField]:
+    wanted = list(columns) if columns is not None else schema.fieldNames()
+    missing = [c for c in wanted if c not in header]
+    if missing:
+        raise ValueError(f"{where} has no column {', '.join(missing)}")
+    return [schema[c] for c in wanted]
+
+
+def typed_text(df: DataFrame, fields: list[T.StructField], na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
+    """The named text columns of ``df`` as their types: missing tokens, bad
+    numbers and bad dates become NULL."""
+    df = df.select(*[f"`{f.name}`" for f in fields])
     if na_tokens is not None:
         df = normalize_na(df, na_tokens)
     out = []
-    for f in schema.fields:
+    for f in fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
             out.append(c.alias(f.name))
@@ -63,17 +75,48 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
             out.append(coerce_date(c).alias(f.name))
         else:
             out.append(F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})").alias(f.name))
-    df = df.select(out)
-    if columns is not None:
-        df = df.select(list(columns))
-    return df
+    return df.select(out)
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
+                   columns: Iterable[str] | None = None, sep: str = "|",
+                   multiline: bool = False, mode: str = "FAILFAST",
+                   na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
+    """A1: header-bearing delimited text; ``schema`` gives the wanted columns
+    and their types, found in the file by name.
+
+    Quote and escape are ``"`` so doubled quotes inside quoted fields parse as
+    one quote; a pipe inside quotes stays in the field. Files of one folder
+    must share the header of the first."""
+    header = header_of(spark, path, sep)
+    fields = _named(header, schema, columns, path)
+    # all fields are read as text first, so a bad number never drops the row
+    df = (spark.read.schema(_text_schema(header))
+          .option("header", True).option("enforceSchema", False).option("sep", sep)
+          .option("quote", '"').option("escape", '"')
+          .option("multiLine", multiline).option("mode", mode).option("columnPruning", False)
+          .csv(path))
+    return typed_text(df, fields, na_tokens)
+
+
+def parse_delimited(lines: DataFrame, header: list[str], schema: T.StructType, line: str = "line",
+                    columns: Iterable[str] | None = None, sep: str = "|",
+                    na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
+    """A1 over records that are already a text column, one record a row."""
+    fields = _named(header, schema, columns, "the header")
+    record = F.from_csv(F.col(line), _text_schema(header).simpleString()[len("struct<"):-1].replace(":", " "),
+                        {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST"})
+    return typed_text(lines.select(record.alias("_r")).select("_r.*"), fields, na_tokens)
 
 
 def read_registry_export(spark: SparkSession, root: str, id_type: T.DataType = T.StringType(),
-                         ext: str = "txt", sep: str = "|") -> TrialTables:
-    """The nine tables of a pipe-delimited export under ``root``."""
+                         ext: str = "txt", sep: str = "|",
+                         multiline_tables: Iterable[str] = schemas.MULTILINE_TABLES) -> TrialTables:
+    """The nine tables of a pipe-delimited export under ``root``;
+    ``multiline_tables`` may hold quoted newlines (one task per file)."""
+    multiline = set(multiline_tables)
     return TrialTables(**{
         name: read_delimited(spark, os.path.join(root, f"{name}.{ext}"), fn(id_type), sep=sep,
-                             multiline=name in schemas.MULTILINE_TABLES)
+                             multiline=name in multiline)
         for name, fn in schemas.TABLES.items()
     })

@@ -28,6 +28,23 @@ def jdbc_options(url: str, table: str, partition_column: str | None = None,
     return opts
 
 
+def key_predicates(key: str, boundaries: list[str]) -> list[str]:
+    """Disjoint, complete WHERE clauses over a text key: one per range between
+    the sorted boundaries, the first also taking NULL keys."""
+    cuts = [b.replace("'", "''") for b in sorted(set(boundaries))]
+    if not cuts:
+        return ["1 = 1"]
+    out = [f"{key} < '{cuts[0]}' OR {key} IS NULL"]
+    out += [f"{key} >= '{a}' AND {key} < '{b}'" for a, b in zip(cuts, cuts[1:])]
+    return out + [f"{key} >= '{cuts[-1]}'"]
+
+
+def read_jdbc_by_key(spark: SparkSession, url: str, table: str, key: str, boundaries: list[str],
+                     properties: dict[str, str] | None = None) -> DataFrame:
+    """A6 for text keys: one connection per range of the key."""
+    return spark.read.jdbc(url, table, predicates=key_predicates(key, boundaries), properties=properties or {})
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **kw) -> DataFrame:
     """Lazy JDBC relation; filters and projections are pushed into the SQL."""
     return spark.read.format("jdbc").options(**jdbc_options(url, table, **kw)).load()
