@@ -68,9 +68,10 @@ def with_exact_split(df: DataFrame, key: str = "nct_id", label: str = K.TARGET,
 
     Distributed: rows are counted per (class, hash bucket) -- at most
     ``classes x 16**digits`` rows, a bound fixed by construction -- which
-    locates, per class, the one bucket where the test quota runs out. Only
-    rows of that boundary bucket are ranked (a window over about
-    n / 16**digits rows); every other row is decided by comparing buckets."""
+    locates, per class, the one bucket where the test quota runs out; its rows
+    are counted again by their next hash digits. Only rows of that second
+    boundary bucket are ranked (about n / 16**(2 * digits) rows); every other
+    row is decided by comparing buckets."""
     frac = F.lit(Decimal(str(fraction)))
     d = (df.withColumn("_h", C.hash_key(key, seed))
          .withColumn("_b", F.conv(F.substring("_h", 1, bucket_hex_digits), 16, 10).cast("int")))
@@ -85,20 +86,34 @@ def with_exact_split(df: DataFrame, key: str = "nct_id", label: str = K.TARGET,
     cls = (cls.withColumn("_extra", F.max("_ntest").over(w_all) - F.sum("_base").over(w_all))
            .withColumn("_rk", F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label))))
            .select(label, (F.col("_base") + (F.col("_rk") <= F.col("_extra")).cast("long")).alias("_quota")))
-    w_cum = Window.partitionBy(label).orderBy("_b")
-    bounds = (counts.join(F.broadcast(cls), label)
-              .withColumn("_incl", F.sum("_n").over(w_cum.rowsBetween(Window.unboundedPreceding, 0)))
-              .where((F.col("_incl") >= F.col("_quota")) & (F.col("_quota") > 0))
-              .groupBy(label)
-              .agg(F.min(F.struct("_b", (F.col("_quota") - F.col("_incl") + F.col("_n")).alias("_need")))
-                   .alias("_m"))
-              .select(label, F.col("_m._b").alias("_bb"), F.col("_m._need").alias("_need")))
-    j = d.join(F.broadcast(bounds), label, "left").fillna({"_bb": -1, "_need": 0})
-    clear = j.where(F.col("_b") != F.col("_bb")).withColumn("is_test", (F.col("_b") < F.col("_bb")).cast("int"))
-    w_edge = Window.partitionBy(label, "_b").orderBy("_h", key)
-    edge = (j.where(F.col("_b") == F.col("_bb"))
-            .withColumn("is_test", (F.row_number().over(w_edge) <= F.col("_need")).cast("int")))
-    return clear.unionByName(edge).drop("_h", "_b", "_bb", "_need")
+    first = _boundary(counts, cls, label, "_b")
+    d = d.join(F.broadcast(first.select(label, F.col("_bb").alias("_b1"), F.col("_need").alias("_n1"))), label, "left")
+    d = d.withColumn("_c", F.conv(F.substring("_h", bucket_hex_digits + 1, bucket_hex_digits), 16, 10).cast("int"))
+    edge_counts = (d.where(F.col("_b") == F.col("_b1")).groupBy(label, F.col("_c").alias("_b"))
+                   .agg(F.count(F.lit(1)).alias("_n")))
+    second = _boundary(edge_counts, first.select(label, F.col("_need").alias("_quota")), label, "_b")
+    j = d.join(F.broadcast(second.select(label, F.col("_bb").alias("_b2"), F.col("_need").alias("_n2"))), label, "left")
+    j = j.fillna({"_b1": -1, "_b2": -1, "_n2": 0})
+    on_edge = (F.col("_b") == F.col("_b1")) & (F.col("_c") == F.col("_b2"))
+    before = (F.col("_b") < F.col("_b1")) | ((F.col("_b") == F.col("_b1")) & (F.col("_c") < F.col("_b2")))
+    clear = j.where(~on_edge).withColumn("is_test", before.cast("int"))
+    w_edge = Window.partitionBy(label, "_b", "_c").orderBy("_h", key)
+    edge = j.where(on_edge).withColumn("is_test", (F.row_number().over(w_edge) <= F.col("_n2")).cast("int"))
+    return clear.unionByName(edge).drop("_h", "_b", "_c", "_b1", "_n1", "_b2", "_n2")
+
+
+def _boundary(counts: DataFrame, quotas: DataFrame, label: str, bucket: str) -> DataFrame:
+    """Per class (``_quota`` rows wanted): the bucket in which the running
+    count reaches the quota, and how many rows of it are still wanted. Both
+    inputs are bounded by construction."""
+    w_cum = Window.partitionBy(label).orderBy(bucket)
+    return (counts.join(F.broadcast(quotas), label)
+            .withColumn("_incl", F.sum("_n").over(w_cum.rowsBetween(Window.unboundedPreceding, 0)))
+            .where((F.col("_incl") >= F.col("_quota")) & (F.col("_quota") > 0))
+            .groupBy(label)
+            .agg(F.min(F.struct(F.col(bucket).alias("_b"), (F.col("_quota") - F.col("_incl") + F.col("_n")).alias("_need")))
+                 .alias("_m"))
+            .select(label, F.col("_m._b").alias("_bb"), F.col("_m._need").alias("_need")))
 
 
 def split_counts(df: DataFrame, label: str = K.TARGET) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from cohortlens.adapters.catalog import ORACLE_SQL
 from cohortlens.adapters.fixtures import fixture_tables
 from cohortlens.operators import cohort as CO
 from cohortlens.operators import master as MA
@@ -46,23 +47,74 @@ def test_column_pruning_reaches_scan(spark):
     assert "o_totalprice" not in scan
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(ORACLE_SQL)))
 def test_no_python_udf_in_any_query(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     p = plan(df)
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_cohort_restriction_stays_above_preaggregation(spark):
-    """The cohort join must not be pushed below the (trial, reason) and
-    (trial, class) pre-aggregations, or a hot trial's raw rows meet in one task."""
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_cohort_restriction_by_threshold(spark, threshold):
+    """The left-semi restriction is pushed below the pre-aggregation only where
+    the id side can be broadcast (no key is shuffled then); otherwise it stays
+    above and joins rows that are already one per key."""
+    from cohortlens.operators import audits as AU
+    t = fixture_tables(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        for df in (TK.withdrawal_reasons(t.drop_withdrawals, CO.cohort_ids(t.studies)),
+                   AU.sponsor_distribution(t.studies, t.sponsors)):
+            lines = _optimized(df).splitlines()
+            semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
+            below = [x for x in lines[semi + 1:] if "Aggregate" in x]
+            if threshold == "-1":
+                assert below, lines
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _scans(df, column):
+    # reads of a driver table, told apart by a column only it has
+    return sum("Relation [" in x and column in x for x in _optimized(df).splitlines())
+
+
+def test_audits_scan_each_child_once(spark):
+    """One scan per child table: eight children, five of them over lineitem
+    rows plus the two that join it, and no second pass for the cohort counts."""
     from cohortlens.operators import audits as AU
     t = fixture_tables(spark, SF_SMALL)
-    for df in (TK.withdrawal_reasons(t.drop_withdrawals, CO.cohort_ids(t.studies)),
-               AU.sponsor_distribution(t.studies, t.sponsors),
-               CO.semi_child_counts(t)):
-        p = df._jdf.queryExecution().optimizedPlan().toString()
-        assert "LeftSemi" not in p
+    children = [df for _, df in t.children()]
+    once = sum(_scans(df, "l_orderkey") for df in children)
+    ids = _scans(CO.cohort_ids(t.studies), "l_orderkey")
+    assert _scans(CO.semi_child_counts(t), "l_orderkey") <= once + ids
+    studies = _scans(t.studies, "l_orderkey")
+    assert _scans(AU.row_count_audit(t), "l_orderkey") <= once + ids + studies
+
+
+def test_insights_and_cross_filter_compute_their_input_once(spark):
+    for name in ("key_insights", "dash_cross_filter"):
+        txt = _optimized(E.queries()[name](spark, SF_SMALL))
+        assert "Relation [" not in txt, name      # everything reads the checkpoint
+
+
+def test_replaced_table_gives_the_new_answer(spark, tmp_path):
+    import shutil
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"):
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = E.queries()["cohort"](spark, str(tmp_path)).count()
+    fewer = spark.read.parquet(f"{SF_SMALL}/orders.parquet").where("o_orderkey % 2 = 0")
+    fewer.write.parquet(str(tmp_path / "new"))
+    (tmp_path / "orders.parquet").unlink()
+    (tmp_path / "new").rename(tmp_path / "orders.parquet")
+    spark.catalog.clearCache()
+    after = E.queries()["cohort"](spark, str(tmp_path)).count()
+    assert 0 < after < before
 
 
 @pytest.mark.parametrize("name", ["key_insights", "enrollment_stats", "median_fill", "metric_auc", "roc_points"])

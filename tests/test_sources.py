@@ -110,3 +110,58 @@ def test_register_views_for_sql(spark):
     t.register_views()
     n = spark.sql("SELECT COUNT(*) AS n FROM studies WHERE study_type = 'INTERVENTIONAL'").first().n
     assert n == t.studies.where("study_type = 'INTERVENTIONAL'").count()
+
+
+def _export(root, name, schema, rows, extra=True, drop=None):
+    """A pipe-delimited file with the schema's columns reversed and, with
+    ``extra``, an unknown column between every two."""
+    cols = [c for c in reversed(schema.fieldNames()) if c != drop]
+    header, lines = [], []
+    for c in cols:
+        header += [c] + ([f"x_{c}"] if extra else [])
+    for r in rows:
+        lines.append("|".join(v for c in cols for v in ([r.get(c, "")] + (["junk"] if extra else []))))
+    p = root / f"{name}.txt"
+    p.write_text("\n".join(["|".join(header), *lines]) + "\n")
+    return str(p)
+
+
+@pytest.mark.parametrize("name", sorted(schemas.TABLES))
+def test_columns_are_found_by_name(spark, tmp_path, name):
+    schema = schemas.TABLES[name](schemas.S)
+    texts = {f.name: {"string": f"v_{f.name}", "double": "2.5", "date": "2020-02-03"}[f.dataType.simpleString()]
+             for f in schema.fields}
+    want = {"string": lambda c: f"v_{c}", "double": lambda c: 2.5, "date": lambda c: dt.date(2020, 2, 3)}
+    for extra in (True, False):
+        path = _export(tmp_path, name, schema, [texts], extra)
+        row = read_delimited(spark, path, schema).first()
+        assert row.asDict() == {f.name: want[f.dataType.simpleString()](f.name) for f in schema.fields}
+    one = read_delimited(spark, path, schema, columns=["nct_id"])
+    assert one.columns == ["nct_id"] and one.first()[0] == "v_nct_id"
+    gone = schema.fieldNames()[-1]
+    path = _export(tmp_path, name, schema, [texts], drop=gone)
+    with pytest.raises(ValueError, match=gone):
+        read_delimited(spark, path, schema)
+
+
+def test_broken_record_fails_instead_of_passing_as_two(spark, tmp_path):
+    p = tmp_path / "sponsors.txt"
+    p.write_text('nct_id|agency_class|lead_or_collaborator|name\nT1|INDUSTRY|lead|"Ac\nme"\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_delimited(spark, str(p), schemas.sponsors()).collect()
+    assert read_delimited(spark, str(p), schemas.sponsors(), multiline=True).first().name == "Ac\nme"
+
+
+def test_key_predicates_are_disjoint_and_complete(spark):
+    from cohortlens.sources.jdbc import key_predicates
+    keys = spark.createDataFrame([("A",), ("B'1",), ("M",), ("Z",), (None,)], "k string")
+    parts = [keys.where(p).count() for p in key_predicates("k", ["M", "B'1"])]
+    assert parts == [2, 1, 2]
+
+
+def test_bucketed_file_count_is_bounded(spark, tmp_path):
+    df = spark.range(5000, numPartitions=16).withColumn("nct_id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")))
+    write_bucketed(df, "many_b", buckets=8, path=str(tmp_path / "b"), spread=2)
+    assert len(list((tmp_path / "b").glob("*.parquet"))) <= 16
+    assert spark.table("many_b").count() == 5000
+    spark.sql("DROP TABLE many_b")
