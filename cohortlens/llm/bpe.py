@@ -8,112 +8,148 @@ into pieces, the distinct ones encoded by the library, and the ids gathered.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CACHED_PIECES = 150_000       # bound of a generation of a worker's piece cache
+CACHED_PIECES = 400_000       # bound of a worker's piece cache
 JOINED = 200                  # pieces encoded in one library call
 # Unicode white space as the tokenizers see it: Python's \s without x1c-x1f.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+\Z")
+_BARE = "\x1f"                 # marks a word that no space stands before
 
 
 class PieceEncoder:
     """``encode_pieces`` maps a list of strings to a list of id sequences.
 
-    Known pieces are kept in two generations of bounded size: when the young
-    one is full it becomes the old one, so pieces in use stay."""
+    Known pieces keep a slot in a table of bounded size; when it is full, the
+    slots that were used more than once since the last time stay."""
 
     def __init__(self, encode_pieces: Callable[[list[str]], list]):
         self._encode_pieces = encode_pieces
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-
-    def _ids_of(self, pieces: list[str]) -> list[bytes]:
-        young, old = self._young, self._old
-        found = [young.get(p) or old.get(p) for p in pieces]
-        new = [k for k, ids in enumerate(found) if ids is None]
-        if new:
-            for k, ids in zip(new, self._encode_pieces([pieces[k] for k in new])):
-                found[k] = ids.tobytes()
-        if len(young) > CACHED_PIECES:
-            self._old, self._young = young, {}
-        self._young.update(zip(pieces, found))
-        return found
+        self._reset({}, np.empty(0, np.int64), np.empty(0, "<u4"))
+
+    def _reset(self, slots: dict[str, int], sizes: np.ndarray, flat: np.ndarray) -> None:
+        self._slots, self._sizes, self._flat = slots, sizes, flat
+        self._starts = np.cumsum(sizes) - sizes
+        self._uses = np.zeros(len(sizes), np.int64)
+
+    def _add(self, keys: list[str], pieces: list[str]) -> None:
+        found = self._encode_pieces(pieces)
+        first = len(self._slots)
+        self._slots.update(zip(keys, range(first, first + len(keys))))
+        sizes = np.concatenate([self._sizes, np.array([len(x) for x in found], np.int64)])
+        flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(found), "<u4")])
+        uses = np.concatenate([self._uses, np.zeros(len(found), np.int64)])
+        self._reset(self._slots, sizes, flat)
+        self._uses = uses
+
+    def _shrink(self) -> None:
+        kept = np.flatnonzero(self._uses > 1)
+        if len(kept) > CACHED_PIECES // 2:
+            kept = np.sort(kept[np.argsort(-self._uses[kept], kind="stable")[:CACHED_PIECES // 2]])
+        place = np.full(len(self._sizes), -1)
+        place[kept] = np.arange(len(kept))
+        slots = {k: int(place[v]) for k, v in self._slots.items() if place[v] >= 0}
+        n = self._sizes[kept]
+        self._reset(slots, n, _runs_of(self._flat, self._starts[kept], n))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (little-endian 32-bit) and the count of each text."""
-        words, per_text = [], np.empty(len(texts), np.int64)
-        opened = np.zeros(len(texts), bool)       # by a space, as inside a longer text
-        for k, t in enumerate(texts):
-            if t[:1] == " ":
-                opened[k], t = True, t[1:]
-                part = t.replace("\n", " \n ").split(" ")
-            else:
-                part = t.replace("\n", " \n ").split(" ") if t else []
-            per_text[k] = len(part)
-            words += part
-        codes, distinct = pd.factorize(np.array(words + [None], dtype=object)[:-1])
-        odd = _odd_words(distinct)
-        starts = np.concatenate([[0], np.cumsum(per_text)])
-        odd_texts = ()
-        if odd.any():
-            hit = np.concatenate([[0], np.cumsum(odd[codes])])
-            odd_texts = np.flatnonzero(hit[starts[1:]] > hit[starts[:-1]])
-        # a piece starts with the space that the split took away, unless it
-        # opens a text or stands beside a line break
-        spaced = np.ones(len(codes), bool)
-        spaced[starts[:-1][per_text > 0]] = opened[per_text > 0]
-        brk = np.array([w == "\n" for w in distinct], bool)[codes] if len(codes) else np.empty(0, bool)
-        spaced[brk] = False
-        spaced[1:][brk[:-1]] = False
-        keys, pair = pd.factorize(codes * 2 + spaced)
-        pieces = [(" " if p & 1 else "") + distinct[p >> 1] for p in pair]
+        if len(self._slots) > CACHED_PIECES:
+            self._shrink()
+        get, slow = self._slots.get, {k for k, t in enumerate(texts) if _BARE in t}
+        fast = [k for k, t in enumerate(texts) if t and k not in slow]
+        # split and number the words column-wise; only distinct ones are objects
+        marked = pa.array([t[1:] if t[0] == " " else _BARE + t for t in map(texts.__getitem__, fast)],
+                          pa.large_string())
+        parts = pc.split_pattern(pc.replace_substring(marked, "\n", f" \n {_BARE}"), " ")
+        per_text = np.zeros(len(texts), np.int64)
+        per_text[fast] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
+        coded = parts.flatten().dictionary_encode()
+        place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
         owner = np.repeat(np.arange(len(texts)), per_text)
-        if len(odd_texts):
-            slow = [_PIECE.findall(texts[k]) for k in odd_texts]
-            keep = ~np.isin(owner, odd_texts)
-            extra, more = pd.factorize(np.array([p for s in slow for p in s] + [None], dtype=object)[:-1])
-            used, keys = np.unique(keys[keep], return_inverse=True)
-            pieces = [pieces[u] for u in used] + list(more)
-            keys = np.concatenate([keys, extra + len(used)])
-            owner = np.concatenate([owner[keep], np.repeat(odd_texts, [len(s) for s in slow])])
+        slot = np.array([get(w, -1) for w in words], np.int64)
+        missing = np.flatnonzero(slot < 0)
+        if len(missing):
+            odd = _odd_words([words[i] for i in missing.tolist()])
+            if odd.any():
+                slow.update(owner[np.isin(place, missing[odd])].tolist())
+                missing = missing[~odd]
+            new = [words[i] for i in missing.tolist()]
+            self._add(new, [w if w == "\n" else w[1:] if w[0] == _BARE else " " + w for w in new])
+            slot[missing] = [get(w) for w in new]
+        codes = slot[place] if len(words) else np.empty(0, np.int64)
+        if slow:
+            cut = {k: _PIECE.findall(texts[k]) for k in sorted(slow)}
+            marked = [_BARE + _BARE + p for part in cut.values() for p in part]
+            new = [w for w in dict.fromkeys(marked) if w not in self._slots]
+            self._add(new, [w[2:] for w in new])
+            keep = ~np.isin(owner, list(cut))
+            codes = np.concatenate([codes[keep], np.array([get(w) for w in marked], np.int64)])
+            owner = np.concatenate([owner[keep], np.repeat(list(cut), [len(p) for p in cut.values()])])
             order = np.argsort(owner, kind="stable")
-            keys, owner = keys[order], owner[order]
-        if not len(keys):
+            codes, owner = codes[order], owner[order]
+        if not len(codes):
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
-        found = self._ids_of(pieces)
-        sizes = np.array([len(b) // 4 for b in found])
-        flat = np.frombuffer(b"".join(found), "<u4")
-        at = np.cumsum(sizes) - sizes
-        n = sizes[keys]
-        total = int(n.sum())
-        first = np.cumsum(n) - n
-        ids = flat[np.repeat(at[keys] - first, n) + np.arange(total)]
+        self._uses += np.bincount(codes, minlength=len(self._uses))
+        n = self._sizes[codes]
+        ids = _runs_of(self._flat, self._starts[codes], n)
         return ids, np.bincount(owner, n, minlength=len(texts)).astype(np.int64)
 
 
-def _odd_words(words) -> np.ndarray:
+def _runs_of(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+
+
+def _odd_words(words: list[str]) -> np.ndarray:
     """Which results of splitting at spaces hold other white space, control
     characters or nothing; their texts are cut by the pattern instead."""
-    joined = " ".join(words)
-    plain = not any(c in joined for c in "\x1c\x1d\x1e\x1f")
+    def odd(w: str) -> bool:
+        bare = w[1:] if w[:1] == _BARE else w
+        return w != "\n" and (len(bare.split()) != 1 or bare != bare.strip()
+                              or any("\x1c" <= c <= "\x1f" for c in bare))
+    joined = " ".join(words).replace(_BARE, "")
+    plain = not any(c in joined for c in "\x1c\x1d\x1e")
     if plain and len(joined.split()) == len(words) - ("\n" in words):
         return np.zeros(len(words), bool)
-    return np.array([w != "\n" and (not w or len(w.split()) != 1 or w != w.strip()
-                                    or any("\x1c" <= c <= "\x1f" for c in w)) for w in words], bool)
+    return np.array([odd(w) for w in words], bool)
+
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable
+    Latin-1 as itself, the others from code point 256 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in printable else next(rest)) for b in range(256)}
 
-def _library_ids(t) -> Callable[[list[str]], list[np.ndarray]]:
-    """Ids of pieces, many in one call: they are joined by line breaks, which
-    the pre-tokenizer keeps apart as one token of their own."""
+
+def _library_ids(t, model) -> Callable[[list[str]], list[np.ndarray]]:
+    """Ids of pieces by the library. A piece of letters only is one pre-token
+    and goes to the library's BPE model as it is; the others are encoded many
+    in one call, joined by line breaks, which the pre-tokenizer keeps apart as
+    one token of their own."""
+    letters = _byte_letters()
     mark = t.encode("\n", add_special_tokens=False).ids
+
     def encode(pieces: list[str]) -> list[np.ndarray]:
         out: list = [None] * len(pieces)
-        plain = [k for k, p in enumerate(pieces) if len(p.split()) == 1 and "\n" not in p and not p[:2].isspace()]
-        alone = sorted(set(range(len(pieces))) - set(plain)) if len(plain) < len(pieces) else []
+        plain, alone = [], []
+        for k, p in enumerate(pieces):
+            if (p[1:] if p[0] == " " else p).isalpha():
+                out[k] = [x.id for x in model.tokenize(p.encode().decode("latin-1").translate(letters))]
+            elif len(p.split()) == 1 and "\n" not in p and not p[:2].isspace():
+                plain.append(k)
+            else:
+                alone.append(k)
         joined = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
         encoded = t.encode_batch_fast(["\n".join([pieces[k] for k in g]) for g in joined], add_special_tokens=False)
         for group, e in zip(joined, encoded):
@@ -127,7 +163,7 @@ def _library_ids(t) -> Callable[[list[str]], list[np.ndarray]]:
                 out[k] = ids[at:end]
                 at = end + 1
         for k, e in zip(alone, t.encode_batch_fast([pieces[k] for k in alone], add_special_tokens=False)):
-            out[k] = np.asarray(e.ids, "<u4")
+            out[k] = e.ids
         return out
     return encode
 
@@ -141,10 +177,15 @@ def library_encoder(path: str) -> PieceEncoder:
     if key not in _ENCODERS:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True      # their strings in a text are ordinary text
-        _ENCODERS[key] = PieceEncoder(_library_ids(t))
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)["model"]
+        # the same BPE without the library's word cache: pieces are cached here
+        model = models.BPE(spec["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["merges"]],
+                           cache_capacity=0)
+        _ENCODERS[key] = PieceEncoder(_library_ids(t, model))
     return _ENCODERS[key]
 
 
