@@ -119,7 +119,7 @@ def _odd_words(words: list[str]) -> np.ndarray:
                               or any("\x1c" <= c <= "\x1f" for c in bare))
     joined = " ".join(words).replace(_BARE, "")
     plain = not any(c in joined for c in "\x1c\x1d\x1e")
-    if plain and len(joined.split()) == len(words) - ("\n" in words):
+    if plain and joined.split() == [w for w in joined.split(" ") if w != "\n"]:
         return np.zeros(len(words), bool)
     return np.array([odd(w) for w in words], bool)
 

@@ -45,12 +45,14 @@ def optimal_buckets(histogram: dict[int, int], buckets: int = BUCKETS) -> list[i
     best = np.full(m + 1, np.inf)
     best[0] = 0.0
     cuts = []
+    # cost[i, j]: padding of one bucket over lengths i to j, ending at lengths[j]
+    cost = lengths[None, :] * (c[None, 1:] - c[:-1, None])
+    cost -= w[None, 1:] - w[:-1, None]
+    cost[np.tril_indices(m, -1)] = np.inf
     for _ in range(min(buckets, m)):
-        # one more bucket, ending at lengths[j - 1] and starting after i of them
-        cost = lengths[None, :] * (c[None, 1:] - c[:-1, None]) - (w[None, 1:] - w[:-1, None])
-        total = np.where(np.arange(m)[:, None] <= np.arange(m)[None, :], best[:-1, None] + cost, np.inf)
+        total = cost + best[:-1, None]
         cuts.append(total.argmin(axis=0))
-        best = np.concatenate([[best[0]], np.minimum(total.min(axis=0), np.inf)])
+        best[1:] = total.min(axis=0)
         best[0] = 0.0
     out, j = [], m
     for cut in reversed(cuts):

@@ -112,9 +112,12 @@ class SegmentTree:
             at = begin - len(old)
         new = old[:begin - at] + replacement + old[end - at:]
         # what stands before must end at a border, and so must the new text
-        while first > 0 and not (new and _OPENS.match(new)):
+        while first > 0:
+            before = self.segments[first - 1]
+            if before and not _CLOSES.search(before) and new and _OPENS.match(new):
+                break
             first -= 1
-            new = self.segments[first] + new
+            new = before + new
         while last + 1 < len(self.segments):
             after = self.segments[last + 1]
             if after and _OPENS.match(after) and not (new and _CLOSES.search(new)):
