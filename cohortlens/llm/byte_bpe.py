@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import PieceEncoder, slices
-from .common import shuffle_partitions, text_or_empty
+from .common import shuffle_partitions, text_batches, text_or_empty
 
 BLOCK_CHARS = 32_000_000
 BLOCK_SCHEMA = "block long, ids array<bigint>, has_id array<boolean>, counts array<bigint>, sequence binary, words binary"
@@ -97,28 +97,46 @@ def _unpack_words(blob: bytes) -> list[str]:
 
 # -- the three steps --------------------------------------------------------
 
+class _Block:
+    """A block being made: word numbers in order of first use, the sequence of
+    word numbers of its texts so far, and their ids and counts."""
+
+    def __init__(self, rx):
+        self.number: dict[str, int] = {}
+        number = self.number
+        self.cutter = PieceEncoder(lambda pieces: [
+            np.array([number.setdefault(w, len(number)) for w in rx.findall(p)], "<u4") for p in pieces])
+        self.ids, self.has_id, self.counts, self.sequence, self.chars = [], [], [], [], 0
+
+    def add(self, ids: pd.Series, texts: list[str]) -> None:
+        found, n = self.cutter.encode(texts)
+        self.sequence.append(found.astype("<u4"))
+        self.counts.append(n)
+        self.ids.append(ids.fillna(0).astype("int64").to_numpy())
+        self.has_id.append(ids.notna().to_numpy())
+        self.chars += sum(map(len, texts))
+
+    def frame(self, block: int) -> pd.DataFrame:
+        return pd.DataFrame({
+            "block": [block], "ids": [np.concatenate(self.ids)], "has_id": [np.concatenate(self.has_id)],
+            "counts": [np.concatenate(self.counts)],
+            "sequence": [zstandard.ZstdCompressor(level=3).compress(np.concatenate(self.sequence).tobytes())],
+            "words": [_pack_words(list(self.number))]})
+
+
 def _block_maker(pattern: str):
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rx = regex.compile(pattern)
-        part, k = TaskContext.get().partitionId(), 0
+        part, k, block = TaskContext.get().partitionId(), 0, _Block(rx)
         for pdf in batches:
             texts = pdf["text"].tolist()
-            for cut in slices(texts, BLOCK_CHARS):
-                number: dict[str, int] = {}
-                cutter = PieceEncoder(lambda pieces: [
-                    np.array([number.setdefault(w, len(number)) for w in rx.findall(p)], "<u4") for p in pieces])
-                rows, sequence, counts = texts[cut], [], []
-                for s in slices(rows, 2_000_000):
-                    found, n = cutter.encode(rows[s])
-                    sequence.append(found.astype("<u4"))
-                    counts.append(n)
-                ids = pdf["doc_id"].iloc[cut]
-                yield pd.DataFrame({
-                    "block": [(part << 32) | k], "ids": [ids.fillna(0).astype("int64").to_numpy()],
-                    "has_id": [ids.notna().to_numpy()], "counts": [np.concatenate(counts)],
-                    "sequence": [zstandard.ZstdCompressor(level=3).compress(np.concatenate(sequence).tobytes())],
-                    "words": [_pack_words(list(number))]})
-                k += 1
+            for cut in slices(texts, 2_000_000):
+                if block.chars >= BLOCK_CHARS:
+                    yield block.frame((part << 32) | k)
+                    k, block = k + 1, _Block(rx)
+                block.add(pdf["doc_id"].iloc[cut], texts[cut])
+        if block.ids:
+            yield block.frame((part << 32) | k)
     return make
 
 
@@ -190,6 +208,7 @@ def _assembler(finish: Callable[[np.ndarray], dict]):
 
 def _encoded(docs: DataFrame, path: str, pattern: str, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
     partitions = shuffle_partitions(docs.sparkSession)
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
     blocks = rows.mapInPandas(_block_maker(pattern), BLOCK_SCHEMA).repartition(partitions, "block")
     packs = (blocks.mapInPandas(_word_dealer(2 * partitions), "bucket long, block long, numbers binary, words binary")

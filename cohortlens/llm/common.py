@@ -20,6 +20,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+TEXT_ROWS_PER_BATCH = 1000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Texts can be long, so at most ``TEXT_ROWS_PER_BATCH`` rows go to a
+    Python worker at once; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXT_ROWS_PER_BATCH:
+        spark.conf.set(key, str(TEXT_ROWS_PER_BATCH))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, however often
     ``body`` uses it: a lambda variable over a one-element array. (A plain

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import WORD, shuffle_partitions, text_or_empty
+from .common import WORD, shuffle_partitions, text_batches, text_or_empty
 from .components import components
 
 SHINGLE = 5
@@ -199,6 +199,7 @@ def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
     (id, text) comes up twice."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
+    text_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
     base = base.withColumn("hash", F.xxhash64("text"))
     sketches = base.mapInPandas(

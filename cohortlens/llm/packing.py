@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .bpe import library_encoder, slices
-from .common import shuffle_partitions
+from .common import shuffle_partitions, text_batches
 
 MAX_LEN = 2048
 BUCKETS = 16
@@ -72,6 +72,7 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
             n = [encoder.encode(texts[s])[1] for s in slices(texts)]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.concatenate(n) + 1})
 
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInPandas(count, "doc_id long, n_tokens long")
 

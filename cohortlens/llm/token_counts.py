@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .bpe import PieceEncoder, slices
 from .byte_bpe import load_ranks
-from .common import bind, text_or_empty
+from .common import bind, text_batches, text_or_empty
 
 SEGMENT_CHARS = 512
 _W, _N = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"      # white space as pre-tokenizers see it, and the rest
@@ -167,6 +167,7 @@ def count_edited(docs: DataFrame, edits: Column, path: str, pattern: str, id_col
                 out.insert(0, "id", pdf["id"].iloc[cut].to_numpy())
                 yield out
 
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"), edits.alias("edits"))
     kind = docs.schema[id_col].dataType.simpleString()
     return rows.mapInPandas(

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 from .bpe import library_encoder, slices
-from .common import shuffle_partitions, text_or_empty
+from .common import shuffle_partitions, text_batches, text_or_empty
 
 END_ID = 2
 BLOCK_IDS = 1_000_000
@@ -83,6 +83,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, id_col: str =
                       text_col: str = "text") -> None:
     """Write every document's ids, in ascending id order, under ``path``."""
     shards = shuffle_partitions(docs.sparkSession)
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
     (rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
      .mapInPandas(_encode_shard(vocabulary), BLOCK_SCHEMA)

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import crc_bucket
+from .common import crc_bucket, text_batches
 
 SAMPLE_ROWS = 10_000     # bound of the labelled rows that are learned from
 LEXICON_SIZE = 200
@@ -166,6 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from, bound: int = SAMPLE_ROWS
     """Learn from labelled rows that satisfy ``learn_from``. Runs jobs; the
     sample and its features are checkpointed."""
     checkpoint_dir(docs.sparkSession)
+    text_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, learn_from, bound).repartition(6, "doc_id").checkpoint()
     base = sample.agg(F.avg("label").alias("m"), F.countDistinct("label").alias("k")).first()
     lexicon = learn_lexicon(sample)
