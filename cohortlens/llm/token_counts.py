@@ -30,13 +30,13 @@ from .bpe import PieceEncoder, slices
 from .byte_bpe import load_ranks
 from .common import bind, text_batches, text_or_empty
 
-SEGMENT_CHARS = 512
+SEGMENT_CHARS = 192
 _W, _N = r"[^\S\x1c-\x1f]", r"[\S\x1c-\x1f]"      # white space as pre-tokenizers see it, and the rest
 _BORDER = re.compile(rf"(?<={_N}){_W}")
 _OPENS = re.compile(_W)
 _CLOSES = re.compile(rf"{_W}\Z")
 
-Count = Callable[[list[str]], np.ndarray]
+Count = Callable[[list[str]], Sequence[int]]
 
 
 def segments_of(text: str, chars: int = SEGMENT_CHARS) -> list[str]:
@@ -135,9 +135,12 @@ class SegmentTree:
         return "".join(self.segments)
 
 
-def piece_counter(path: str, pattern: str) -> PieceEncoder:
-    """Encoder of texts by a rank file and its pre-token pattern."""
-    encoding = tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+def token_encoding(path: str, pattern: str) -> tiktoken.Encoding:
+    return tiktoken.Encoding("counts", pat_str=pattern, mergeable_ranks=load_ranks(path), special_tokens={})
+
+
+def piece_counter(encoding: tiktoken.Encoding) -> PieceEncoder:
+    """Encoder of many texts that keeps the pieces it has seen."""
     return PieceEncoder(lambda pieces: [np.asarray(encoding.encode_ordinary(p), "<u4") for p in pieces])
 
 
@@ -146,20 +149,21 @@ def count_edited(docs: DataFrame, edits: Column, path: str, pattern: str, id_col
     """Token counts of every document before and after its ``edits`` (an array
     of (begin, end, replacement)), and how much was encoded again."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = piece_counter(path, pattern)
-        count = lambda texts: encoder.encode(texts)[1]
+        encoding = token_encoding(path, pattern)
+        encoder = piece_counter(encoding)
+        recount = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
         for pdf in batches:
             texts = pdf["text"].tolist()
             for cut in slices(texts):
                 parts = [segments_of(t) for t in texts[cut]]
-                counts = count([s for p in parts for s in p])
+                counts = encoder.encode([s for p in parts for s in p])[1]
                 rows, at = [], 0
                 for segments, own in zip(parts, pdf["edits"].iloc[cut]):
                     tree = SegmentTree(segments, counts[at:at + len(segments)])
                     at += len(segments)
                     before, chars = tree.n_tokens, tree.n_chars
                     for e in (own if own is not None else ()):
-                        tree.edit(e["begin"], e["end"], e["replacement"], count)
+                        tree.edit(e["begin"], e["end"], e["replacement"], recount)
                     rows.append((before, tree.n_tokens, chars, tree.n_chars, len(segments),
                                  tree.reencoded_segments, tree.reencoded_chars))
                 out = pd.DataFrame(rows, columns=["n_tokens", "n_tokens_edited", "n_chars", "n_chars_edited",
