@@ -68,6 +68,8 @@ class PieceEncoder:
         # split and number the words column-wise; only distinct ones are objects
         marked = pa.array([t[1:] if t[0] == " " else _BARE + t for t in map(texts.__getitem__, fast)],
                           pa.large_string())
+        # a pre-token always ends between a letter or digit and these marks
+        marked = pc.replace_substring_regex(marked, "([A-Za-z0-9])([.,;:!?])", f"\\1 {_BARE}\\2")
         parts = pc.split_pattern(pc.replace_substring(marked, "\n", f" \n {_BARE}"), " ")
         per_text = np.zeros(len(texts), np.int64)
         per_text[fast] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
