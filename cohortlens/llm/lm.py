@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -136,7 +137,7 @@ def text_blocks(docs: DataFrame, held: Column, id_col: str = "doc_id", text_col:
 
 
 def _texts(row) -> tuple[list[bytes], np.ndarray]:
-    body = zstandard.ZstdDecompressor().decompress(row.body) if row.sizes.sum() else b""
+    body = _unsqueeze(row.body) if row.sizes.sum() else b""
     ends = np.cumsum(row.sizes)
     return [body[e - n:e] for e, n in zip(ends.tolist(), row.sizes.tolist())], ends
 
@@ -160,12 +161,19 @@ def _distinct(row, cut_up, factorize) -> tuple[np.ndarray, np.ndarray]:
 PACK_SCHEMA = "bucket long, answer boolean, block long, keys binary, amounts binary"
 
 
+@lru_cache(maxsize=1)
+def _zstd() -> tuple:
+    """A worker's compressor and decompressor; making them costs more than a
+    small pack."""
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
 def _squeeze(data: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return _zstd()[0].compress(data)
 
 
 def _unsqueeze(data: bytes) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _zstd()[1].decompress(data)
 
 
 def _pack_windows(windows: np.ndarray) -> bytes:
@@ -376,11 +384,11 @@ def window_packs(blocks: DataFrame) -> DataFrame:
     return blocks.mapInPandas(_window_dealer(_buckets(blocks.sparkSession)), PACK_SCHEMA)
 
 
-def window_scores(blocks: DataFrame) -> DataFrame:
-    """Packs of the scores of all windows of the blocks; counts come from the
-    training texts only. Runs jobs; the window counts are checkpointed."""
-    spark = blocks.sparkSession
-    counts = _by_bucket(window_packs(blocks)).mapInPandas(_count_windows, "window long, n long").checkpoint()
+def window_scores(packs: DataFrame) -> DataFrame:
+    """Packs of the scores of all windows of the blocks' packs; counts come
+    from the training texts only. Runs jobs; the counts are checkpointed."""
+    spark = packs.sparkSession
+    counts = _by_bucket(packs).mapInPandas(_count_windows, "window long, n long").checkpoint()
     pairs = np.zeros((ALPHABET, ALPHABET))
     for r in (counts.where("n > 0").groupBy(F.col("window").bitwiseAND(F.lit(0xFFFF)).alias("pair"))
               .agg(F.sum("n").alias("n")).collect()):           # 65,536 rows at most
@@ -436,9 +444,9 @@ def document_scores(docs: DataFrame, held: Column, id_col: str = "doc_id", text_
     """Per document: fold, token counts, the unigram base score and the
     model's log10 probability; rows where ``held`` is true are not learned."""
     blocks = text_blocks(docs, held, id_col, text_col)
-    scores = (_by_bucket(window_scores(blocks).union(window_packs(blocks)))
-              .mapInPandas(_answer_windows, REPLY_SCHEMA))
-    words = blocks.mapInPandas(_word_dealer(_buckets(docs.sparkSession)), PACK_SCHEMA)
+    windows = window_packs(blocks).checkpoint()          # read for the counts and for the answers
+    scores = _by_bucket(window_scores(windows).union(windows)).mapInPandas(_answer_windows, REPLY_SCHEMA)
+    words = blocks.mapInPandas(_word_dealer(_buckets(docs.sparkSession)), PACK_SCHEMA).checkpoint()
     counts = _by_bucket(words).mapInPandas(_count_words, PACK_SCHEMA + ", tokens long, known long").checkpoint()
     totals = counts.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("train_tokens"),
                         F.coalesce(F.sum("known"), F.lit(0)).alias("train_words"))
