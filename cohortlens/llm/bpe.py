@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHED_PIECES = 700_000       # bound of a worker's piece cache
+CACHED_PIECES = 250_000       # bound of a worker's piece cache
 JOINED = 200                  # pieces encoded in one library call
 # Unicode white space as the tokenizers see it: Python's \s without x1c-x1f.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+\Z")
