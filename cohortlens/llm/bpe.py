@@ -4,6 +4,8 @@ A piece is a run of non-white characters with the white space before it. The
 byte-level pre-tokenizer never joins characters across the end of such a run
 and never looks left, so pieces encode independently; a batch's texts are cut
 into pieces, the distinct ones encoded by the library, and the ids gathered.
+A text that holds the string of an added token (``<|endoftext|>``) goes to the
+library whole, which gives that token's id, as its plain call does.
 """
 
 from __future__ import annotations
@@ -170,11 +172,50 @@ def _library_ids(t, model) -> Callable[[list[str]], list[np.ndarray]]:
     return encode
 
 
-_ENCODERS: dict[tuple, PieceEncoder] = {}
+class TextEncoder:
+    """What ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)``
+    gives for each text: by pieces, or whole where an added token's string is."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self._path, self._library = path, None
+        self._pieces = library_encoder(path)
+        self._added = [a.content for a in Tokenizer.from_file(path).get_added_tokens_decoder().values() if a.content]
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        if self._library is None:       # few workers ever see such a text
+            from tokenizers import Tokenizer
+            self._library = Tokenizer.from_file(self._path)
+        return [np.asarray(e.ids, "<u4") for e in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``PieceEncoder.encode``."""
+        holds = np.array([any(a in t for a in self._added) for t in texts], bool)
+        if not holds.any():
+            return self._pieces.encode(texts)
+        ids, counts = self._pieces.encode(["" if h else t for t, h in zip(texts, holds)])
+        whole = self._whole([t for t, h in zip(texts, holds) if h])
+        counts[holds] = [len(x) for x in whole]
+        inside = np.repeat(holds, counts)
+        out = np.empty(len(inside), "<u4")
+        out[inside], out[~inside] = np.concatenate(whole), ids
+        return out, counts
+
+
+_ENCODERS: dict[tuple, PieceEncoder | TextEncoder] = {}
+
+
+def text_encoder(path: str) -> TextEncoder:
+    """The encoder of whole texts over a vocabulary file; one per worker."""
+    key = ("texts", path)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = TextEncoder(path)
+    return _ENCODERS[key]
 
 
 def library_encoder(path: str) -> PieceEncoder:
-    """The tokenizers library over a vocabulary file; one per worker."""
+    """The tokenizers library over a vocabulary file, for pieces: an added
+    token's string counts as ordinary text here; one per worker."""
     key = ("tokenizers", path)
     if key not in _ENCODERS:
         import os

@@ -7,7 +7,9 @@ that minimise the padding. Inside a bucket, sequences are numbered without
 gaps, whatever the number of tasks, and every ``budget // bucket_len`` of them
 form a batch, so only the last batch of a bucket can be short.
 
-Defined results: a null or empty text is one sequence of its end id; longer
+Defined results: tokens are the tokenizers library's with
+``add_special_tokens=False``, so the string of an added token in a text is one
+token; a null or empty text is one sequence of its end id; longer
 texts are cut into consecutive sequences, nothing is dropped; repeated rows are
 packed each on its own; ties in length share a bucket and are ordered by a hash
 of id and sequence number; an empty table gives no rows. Only id and text are
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .bpe import library_encoder, slices
+from .bpe import slices, text_encoder
 from .common import shuffle_partitions, text_batches
 
 MAX_LEN = 2048
@@ -66,7 +68,7 @@ def optimal_buckets(histogram: dict[int, int], buckets: int = BUCKETS) -> list[i
 def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokens of each text by the tokenizers library, plus one end id."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = library_encoder(vocabulary)
+        encoder = text_encoder(vocabulary)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             n = [encoder.encode(texts[s])[1] for s in slices(texts)]

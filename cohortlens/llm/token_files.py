@@ -11,7 +11,9 @@ slot it yields, a 32-bit fingerprint of the key and the place of its payload:
 shard, block, offset, length. A lookup costs a few bit tests whatever the
 number of documents; the fingerprint turns unknown keys away.
 
-Defined results: a null or empty text is its end id alone; null ids sort
+Defined results: ids are the tokenizers library's with
+``add_special_tokens=False``, so the string of an added token in a text is that
+token's id; a null or empty text is its end id alone; null ids sort
 first; repeated ids are ordered by text and numbered; an empty table gives
 empty files, an empty index and no rows. Extra columns are ignored.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .bpe import library_encoder, slices
+from .bpe import slices, text_encoder
 from .common import shuffle_partitions, text_batches, text_or_empty
 
 END_ID = 2
@@ -55,7 +57,7 @@ def _block(shard: int, block: int, rows: list) -> pd.DataFrame:
 
 def _encode_shard(vocabulary: str):
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = library_encoder(vocabulary)
+        encoder = text_encoder(vocabulary)
         shard, block, last, seen = TaskContext.get().partitionId(), 0, None, 0
         rows, size = [], 0
         for pdf in batches:

@@ -191,6 +191,26 @@ def test_piece_encoder_equals_the_library():
         assert ids[a:b].tolist() == e.ids, repr(text)
 
 
+def test_added_tokens_as_the_unmodified_library(spark):
+    t = Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(5)
+    some = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(14))) for _ in range(500)]
+    ids, counts = bpe.text_encoder(VOCABULARY).encode(some)
+    ends = np.cumsum(counts)
+    for text, a, b, e in zip(some, ends - counts, ends, t.encode_batch(some, add_special_tokens=False)):
+        assert ids[a:b].tolist() == e.ids, repr(text)
+    rows = [(0, "a <|endoftext|> b"), (1, "<|endoftext|>"), (2, "plain words"), (3, "<|endoftext|><|endoftext|>\n x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    files = {r.doc_id: r for r in token_files.token_ids_by_key(docs, VOCABULARY).collect()}
+    packed = {r.doc_id: r.n_tokens for r in packing.pack_documents(docs, VOCABULARY).collect()}
+    start = 0
+    for i, text in rows:
+        own = np.array([*t.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        assert (files[i].start, files[i].n_tokens, files[i].ids_crc32) == (start, len(own), zlib.crc32(own.tobytes()))
+        assert packed[i] == len(own)
+        start += len(own)
+
+
 def test_piece_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
     encoder = bpe.PieceEncoder(lambda pieces: [np.frombuffer(p.encode(), np.uint8) for p in pieces])
