@@ -28,8 +28,9 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op2_length_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(read_table(spark, sf_dir, "documents"),
-                                  public_tokenizers.path("byte_bpe_50k.json"))
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 @register

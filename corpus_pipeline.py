@@ -34,7 +34,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document as token sequences in length buckets."""
+    """Every kept document as token sequences, with their ids, in length buckets."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

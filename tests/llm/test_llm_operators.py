@@ -211,6 +211,26 @@ def test_added_tokens_as_the_unmodified_library(spark):
         start += len(own)
 
 
+def test_packed_sequences_carry_their_ids(spark):
+    t = Tokenizer.from_file(VOCABULARY)
+    rows = [(0, "one two three " * 30), (1, None), (2, "x"), (None, "no id, some words " * 9), (3, "a <|endoftext|> b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    packed = packing.pack_documents(docs, VOCABULARY, max_len=16, buckets=3, budget=64).checkpoint()
+    found = collections.defaultdict(list)
+    for r in sorted(packed.collect(), key=lambda r: r.sequence):
+        assert len(r.ids) == 4 * r.n_tokens
+        found[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    assert found == {i: [*t.encode(x or "", add_special_tokens=False).ids, 2] for i, x in rows}
+    back = collections.defaultdict(dict)
+    for b in packing.padded_batches(packed).collect():
+        assert [r.slot for r in b.rows] == list(range(len(b.rows))) and len(b.rows) * b.bucket_len <= 64
+        for r in b.rows:
+            ids = np.frombuffer(r.ids, "<u4").tolist()
+            assert len(ids) == b.bucket_len and set(ids[r.n_tokens:]) <= {2}
+            back[r.doc_id][r.sequence] = ids[:r.n_tokens]
+    assert {i: sum((p[k] for k in sorted(p)), []) for i, p in back.items()} == found
+
+
 def test_piece_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
     encoder = bpe.PieceEncoder(lambda pieces: [np.frombuffer(p.encode(), np.uint8) for p in pieces])
