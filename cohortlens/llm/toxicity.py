@@ -4,15 +4,19 @@ obfuscation rates), calibrated by isotonic regression.
 
 The lexicon and the trees are learned from a bounded sample of labelled rows
 (``SAMPLE_ROWS``, chosen by a hash of the id, so every run takes the same
-rows); a quarter of it is kept back for the calibration. Scoring covers every
+rows); where there are more, the rarer class fills up to half of it and rows
+weigh what they stand for. A quarter is kept back for the calibration, of each
+class if the hash alone leaves a part without one. Scoring covers every
 document and reads its whole text; labels, language, source and id are never
 inputs of a score.
 
 Defined results: null and empty texts are scored from all-zero features;
 repeated rows are scored alike, each on its own; several labels for one id
 count as their largest, null labels and ids are not learned from; without
-labels of both classes every score is the labelled mean (0 without labels); an
-empty table gives no rows. Only id and text are read from the documents.
+labels of both classes every score is the labelled mean (0 without labels);
+where one class has a single row, which cannot be in both parts, scores are the
+trees' own probability, uncalibrated; an empty table gives no rows. Only id and
+text are read from the documents.
 """
 
 from __future__ import annotations
@@ -26,7 +30,7 @@ import pandas as pd
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -119,21 +123,32 @@ class ToxicityModel:
         row = df.select(F.struct("*").alias("__row"),
                         array_to_vector(feature_column(F.col(text_col), self.lexicon)).alias("__features"))
         raw = self.trees.transform(row).select("__row", vector_to_array("probability")[1].alias("__raw"))
+        if self.calibration is None:
+            return raw.select("__row.*", F.col("__raw").alias(out))
         done = self.calibration.transform(raw)
         value = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("__calibrated")))
         return done.select("__row.*", value.alias(out))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn_from, bound: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text, label) of at most about ``bound`` distinct labelled ids.
-    ``learn_from`` is a condition on the id column."""
+    """(doc_id, text, label, weight) of at most about ``bound`` distinct
+    labelled ids, the rarer class first, up to half of them; the weight is the
+    number of ids that one stands for. ``learn_from`` is a condition on the id
+    column."""
     label = F.col("toxic").cast("int")
     ids = (labels.select(F.col("doc_id"), label.alias("label"))
            .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn_from(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("label").alias("label")))
-    n = ids.count()
+    sizes = {r.label: r["count"] for r in ids.groupBy("label").count().collect()}     # a row per class
+    rare = min(sizes, key=lambda c: (sizes[c], c), default=None)
+    first = min(sizes.get(rare, 0), bound // 2)
+    share = {c: min(1.0, (first if c == rare else bound - first) / n) for c, n in sizes.items()}
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    picked = ids.where(place < int(1_000_000 * min(1.0, bound / max(n, 1))))
+    most, weight = F.lit(0), F.lit(1.0)
+    for c, part in share.items():
+        most = F.when(F.col("label") == c, F.lit(int(1_000_000 * part))).otherwise(most)
+        weight = F.when(F.col("label") == c, F.lit(1.0 / part)).otherwise(weight)
+    picked = ids.where(place < most).withColumn("weight", weight)
     # bounded by the sample size, so it may be broadcast
     return (docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
             .join(F.broadcast(picked), "doc_id")
@@ -168,22 +183,31 @@ def fit(docs: DataFrame, labels: DataFrame, learn_from, bound: int = SAMPLE_ROWS
     checkpoint_dir(docs.sparkSession)
     text_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, learn_from, bound).repartition(6, "doc_id").checkpoint()
-    base = sample.agg(F.avg("label").alias("m"), F.countDistinct("label").alias("k")).first()
+    base = sample.agg((F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("m")).first()
     lexicon = learn_lexicon(sample)
     model = ToxicityModel(lexicon, base=float(base.m or 0.0))
-    table = (sample.select("label", (crc_bucket(F.col("doc_id"), 40) % 8).isin(1, 4).alias("calibrates"),
-                           feature_column(F.col("text"), lexicon).alias("f"))
-             .select("label", "calibrates", array_to_vector("f").alias("__features")).coalesce(2).checkpoint())
-    train, held = table.where(~F.col("calibrates")), table.where("calibrates")
-    classes = [d.select("label").distinct().count() for d in (train, held)]
-    if min(classes) < 2:
+    by_hash = (crc_bucket(F.col("doc_id"), 40) % 8).isin(1, 4)
+    parts = sample.groupBy("label").agg(F.max(by_hash).alias("held"), F.max(~by_hash).alias("train")).collect()
+    if len(parts) < 2:
         return model
+    if all(r.held and r.train for r in parts):
+        split = sample.withColumn("calibrates", by_hash)
+    else:       # the sample is bounded, and so is a class of it
+        turn = F.dense_rank().over(Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id"))
+        split = sample.withColumn("calibrates", turn % 4 == 2)
+    table = (split.select("label", "weight", "calibrates", feature_column(F.col("text"), lexicon).alias("f"))
+             .select("label", "weight", "calibrates", array_to_vector("f").alias("__features"))
+             .coalesce(2).checkpoint())
+    train, held = table.where(~F.col("calibrates")), table.where("calibrates")
     model.trees = GBTClassifier(
-        featuresCol="__features", labelCol="label", predictionCol="__prediction",
+        featuresCol="__features", labelCol="label", predictionCol="__prediction", weightCol="weight",
         maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=SEED).fit(train)
-    raw = model.trees.transform(held).select("label", vector_to_array("probability")[1].alias("__raw"))
+    if held.select("label").distinct().count() < 2:
+        return model
+    raw = model.trees.transform(held).select("label", "weight", vector_to_array("probability")[1].alias("__raw"))
     model.calibration = IsotonicRegression(
-        featuresCol="__raw", labelCol="label", predictionCol="__calibrated").fit(raw.coalesce(1))
+        featuresCol="__raw", labelCol="label", weightCol="weight",
+        predictionCol="__calibrated").fit(raw.coalesce(1))
     return model
 
 

@@ -385,3 +385,19 @@ def test_pipeline_stages(spark):
     assert {r.doc_id for r in packed.collect()} == set(classes.values())
     whole = P.run(spark, SF_SMALL)
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, packed.collect()))
+
+
+def test_rare_toxic_labels_are_learned_from(spark):
+    crc = lambda i: zlib.crc32(str(i).encode())
+    train = [i for i in range(2000) if crc(i) % 5 and crc(i) % 40 % 8 not in (1, 4)]
+    bad = set(train[:12])                       # by the hash, none is in the calibration part
+    rng = random.Random(3)
+    word = lambda: f"{rng.choice('bdfgk')}{rng.choice('aeiou')}{rng.choice('lmnrs')}"
+    rows = [(i, " ".join([*(word() for _ in range(30)), *(["you", "vile", "scum"] * 4 if i in bad else [])]))
+            for i in sorted({*range(600), *bad})]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in bad)) for i, _ in rows], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, lambda c: F.lit(True), bound=60).collect()
+    assert {r.doc_id for r in sample if r.label} == bad and len(sample) < 100
+    kept = {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()}
+    assert not kept & bad and len(kept) == len(rows) - len(bad)
