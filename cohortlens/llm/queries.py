@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, fingerprints, lm, neardup, packing, quality, token_counts, token_files, toxicity, url_filter
+from . import (byte_bpe, fingerprints, lm, neardup, packing, quality, ranking, runs, token_counts, token_files, toxicity,
+               url_filter)
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -85,3 +86,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.document_runs(read_table(spark, sf_dir, "documents"), reorder=runs.planted_period)
+
+
+@register
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))

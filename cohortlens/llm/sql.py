@@ -83,4 +83,34 @@ fits AS (
 )
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f USING (page_id)""",
+    "op12_ranked_search": r"""
+WITH terms AS (
+    SELECT doc_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term <> '' GROUP BY ALL),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term
+),
+postings AS (
+    SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms)))) AS v
+    FROM tf JOIN lengths USING (doc_id) JOIN weights USING (term), total
+),
+items AS (
+    SELECT item_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+),
+scores AS (
+    SELECT item_id, doc_id, CAST(sum(v) AS BIGINT) AS score FROM items JOIN postings USING (term) GROUP BY ALL
+),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20""",
 }
