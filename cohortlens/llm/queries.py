@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, fingerprints, lm, neardup, packing, quality, ranking, runs, token_counts, token_files, toxicity,
-               url_filter)
+from . import (bwt_dedup, byte_bpe, fingerprints, lm, neardup, packing, quality, ranking, runs, token_counts,
+               token_files, toxicity, url_filter)
 from .common import read_table
 from .sql import ORACLE_SQL  # noqa: F401 - re-exported for the entry point
 
@@ -96,3 +96,8 @@ def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@register
+def op13_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
