@@ -84,9 +84,6 @@ TABLES = {
     "interventions": interventions,
 }
 
-# Free-text tables whose fields may hold quoted newlines: read with multiLine.
-MULTILINE_TABLES = ("eligibilities", "outcomes")
-
 
 def risk_scores(id_type: T.DataType = S) -> T.StructType:
     """The scored table the dashboard reads (typed as the BI source declares)."""

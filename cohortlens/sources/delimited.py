@@ -6,10 +6,10 @@ other columns the file has, and a missing one is an error. The text tokens
 pandas treats as missing become NULL, and date text is coerced to DATE with
 unparseable values as NULL.
 
-``multiline`` parses quoted newlines but makes a file unsplittable (one task
-per file), so it is used only for the free-text tables. Elsewhere a record
-that does not have the header's number of fields -- such as one cut by a quoted
-newline -- fails the read instead of passing as two broken rows.
+Quoted fields may hold line breaks, in any table: ``records.whole_records``
+finds where records begin in every split of a file, so such files are still
+read by many tasks. A record that does not have the header's number of fields
+fails the read instead of passing as a broken row.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from .. import constants as K
 from .. import schemas
 from ..functions.columns import coerce_date, na_to_null
+from .records import quoted_splits, whole_records
 from .tables import TrialTables
 
 
@@ -80,43 +81,53 @@ def typed_text(df: DataFrame, fields: list[T.StructField], na_tokens: Iterable[s
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType,
                    columns: Iterable[str] | None = None, sep: str = "|",
-                   multiline: bool = False, mode: str = "FAILFAST",
+                   multiline: bool | None = None, mode: str = "FAILFAST",
                    na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
     """A1: header-bearing delimited text; ``schema`` gives the wanted columns
-    and their types, found in the file by name.
+    and their types, found in the file by name, upper and lower case apart.
 
     Quote and escape are ``"`` so doubled quotes inside quoted fields parse as
-    one quote; a pipe inside quotes stays in the field. Files of one folder
-    must share the header of the first."""
+    one quote; a pipe or a line break inside quotes stays in the field. Files
+    of one folder must share the header of the first. One job looks for quotes
+    first; ``multiline=False`` spares it for files whose records are single
+    lines (others then fail), ``multiline=True`` reads each file in one task."""
     header = header_of(spark, path, sep)
     fields = _named(header, schema, columns, path)
+    alike = len({h.lower() for h in header}) < len(header)
+    if multiline is None:
+        ends = quoted_splits(spark, path, sep)
+        if ends or alike:
+            return parse_delimited(whole_records(spark, path, ends, header, sep), header, schema, "record",
+                                   columns, sep, na_tokens, mode)
+    elif alike:
+        raise ValueError(f"{path} has columns whose names differ in case only; leave multiline out")
     # all fields are read as text first, so a bad number never drops the row
     df = (spark.read.schema(_text_schema(header))
           .option("header", True).option("enforceSchema", False).option("sep", sep)
           .option("quote", '"').option("escape", '"')
-          .option("multiLine", multiline).option("mode", mode).option("columnPruning", False)
+          .option("multiLine", bool(multiline)).option("mode", mode).option("columnPruning", False)
           .csv(path))
     return typed_text(df, fields, na_tokens)
 
 
 def parse_delimited(lines: DataFrame, header: list[str], schema: T.StructType, line: str = "line",
                     columns: Iterable[str] | None = None, sep: str = "|",
-                    na_tokens: Iterable[str] | None = K.NA_TOKENS) -> DataFrame:
-    """A1 over records that are already a text column, one record a row."""
+                    na_tokens: Iterable[str] | None = K.NA_TOKENS, mode: str = "FAILFAST") -> DataFrame:
+    """A1 over records that are already a text column, one record a row; a
+    record may hold line breaks inside quotes."""
     fields = _named(header, schema, columns, "the header")
-    record = F.from_csv(F.col(line), _text_schema(header).simpleString()[len("struct<"):-1].replace(":", " "),
-                        {"sep": sep, "quote": '"', "escape": '"', "mode": "FAILFAST"})
-    return typed_text(lines.select(record.alias("_r")).select("_r.*"), fields, na_tokens)
+    # columns by place, as names may differ in case only
+    record = F.from_csv(F.col(line), ", ".join(f"_{i} string" for i in range(len(header))),
+                        {"sep": sep, "quote": '"', "escape": '"', "mode": mode, "multiLine": "true"})
+    named = lines.select(record.alias("_r")).select(
+        *[F.col(f"_r._{header.index(f.name)}").alias(f.name) for f in fields])
+    return typed_text(named, fields, na_tokens)
 
 
 def read_registry_export(spark: SparkSession, root: str, id_type: T.DataType = T.StringType(),
-                         ext: str = "txt", sep: str = "|",
-                         multiline_tables: Iterable[str] = schemas.MULTILINE_TABLES) -> TrialTables:
-    """The nine tables of a pipe-delimited export under ``root``;
-    ``multiline_tables`` may hold quoted newlines (one task per file)."""
-    multiline = set(multiline_tables)
+                         ext: str = "txt", sep: str = "|", multiline: bool | None = None) -> TrialTables:
+    """The nine tables of a pipe-delimited export under ``root``."""
     return TrialTables(**{
-        name: read_delimited(spark, os.path.join(root, f"{name}.{ext}"), fn(id_type), sep=sep,
-                             multiline=name in multiline)
+        name: read_delimited(spark, os.path.join(root, f"{name}.{ext}"), fn(id_type), sep=sep, multiline=multiline)
         for name, fn in schemas.TABLES.items()
     })

@@ -1,0 +1,161 @@
+"""Parallel reading of records with quoted line breaks: any cut of a file into
+splits gives the rows of the one-task parse."""
+
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from cohortlens import schemas
+from cohortlens.sources import read_delimited
+from cohortlens.sources.records import LineStates, _near, quoted_splits, split_ends, text_lines
+
+FIELDS = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b", "c")])
+
+
+@pytest.fixture
+def splits(spark):
+    """Sets the size of a scan split; the old settings come back."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    old = {k: spark.conf.get(k, None) for k in keys}
+
+    def of(size):
+        spark.conf.set(keys[0], str(size))
+        spark.conf.set(keys[1], "1")
+        spark.conf.set(keys[2], "1")
+    yield of
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def field(rng):
+    kind = rng.random()
+    if kind < .3:
+        return rng.choice(["", "x", "plain text", 'inch 5" wide', "y" * rng.randrange(60), "a'b"])
+    inner = "".join(rng.choice(["\n", "\n\n", '""', "|", "w", "word ", "\n|", '""\n', "é", "\r\n"])
+                    for _ in range(rng.randrange(0, 14)))
+    return f'"{inner}"' + (rng.choice(["", "", "", "tail", 'o"x']) if kind > .8 else "")
+
+
+def write(path, rng, n, end="\n"):
+    lines = ["a|b|c"] + ["|".join(field(rng) for _ in range(3)) for _ in range(n)]
+    path.write_bytes((end.join(lines) + rng.choice(["", end])).encode())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_split_equals_the_one_task_parse(spark, tmp_path, splits, seed):
+    rng = random.Random(seed)
+    path = tmp_path / "t.txt"
+    write(path, rng, 60)
+    want = sorted(map(tuple, read_delimited(spark, str(path), FIELDS, multiline=True, na_tokens=None).collect()), key=str)
+    assert len(want) == 60
+    for size in (40, 300, 1 << 20):
+        splits(size)
+        got = read_delimited(spark, str(path), FIELDS, na_tokens=None)
+        assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_a_file_is_cut_into_many_splits(spark, tmp_path, splits):
+    path = tmp_path / "t.txt"
+    write(path, random.Random(9), 200)
+    splits(200)
+    size = path.stat().st_size
+    assert text_lines(spark, str(path)).rdd.getNumPartitions() >= size // 200
+    ends = quoted_splits(spark, str(path))
+    (starts, inside), = ends.values()
+    assert len(starts) > size // 400 and any(inside) and not all(inside)
+
+
+def test_a_record_over_many_splits_is_whole(spark, tmp_path, splits):
+    path = tmp_path / "t.txt"
+    long = "\n".join(f"line {i} of a text | with ""pipes""".replace('"', '""') for i in range(200))
+    path.write_text(f'a|b|c\n1|"{long}"|x\n2|"one\ntwo"|y\n3|z|"open to the end\nof the file')
+    splits(100)
+    rows = {r.a: r for r in read_delimited(spark, str(path), FIELDS).collect()}
+    assert rows["1"].b == long.replace('""', '"') and rows["1"].c == "x"
+    assert rows["2"].b == "one\ntwo" and rows["2"].c == "y"
+    one = {r.a: r for r in read_delimited(spark, str(path), FIELDS, multiline=True).collect()}
+    assert rows["3"] == one["3"]
+
+
+def test_carriage_returns_end_records_and_stay_in_fields(spark, tmp_path, splits):
+    path = tmp_path / "t.txt"
+    path.write_bytes(b'a|b|c\r\n1|"x\r\ny"|z\r\n\r\n2|p|q\r\n')
+    splits(8)
+    rows = sorted(map(tuple, read_delimited(spark, str(path), FIELDS).collect()))
+    assert rows == [("1", "x\r\ny", "z"), ("2", "p", "q")]
+
+
+def test_many_files_with_quotes_in_some(spark, tmp_path, splits):
+    rng = random.Random(3)
+    (tmp_path / "d").mkdir()
+    write(tmp_path / "d" / "1.txt", rng, 40)
+    (tmp_path / "d" / "2.txt").write_text("a|b|c\n" + "p|q|r\n" * 30)
+    (tmp_path / "d" / "3.txt").write_text("a|b|c\n")
+    splits(90)
+    got = read_delimited(spark, str(tmp_path / "d"), FIELDS, na_tokens=None).collect()
+    want = read_delimited(spark, str(tmp_path / "d"), FIELDS, multiline=True, na_tokens=None).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str) and len(got) == 70
+    (tmp_path / "d" / "4.txt").write_text('a|c|b\n"1"|2|3\n')
+    with pytest.raises(Exception, match="header"):
+        read_delimited(spark, str(tmp_path / "d"), FIELDS).collect()
+
+
+def test_files_without_quotes_use_the_plain_scan(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text("a|b|c\n1|2|3\n")
+    df = read_delimited(spark, str(path), FIELDS)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "MapInArrow" not in plan
+
+
+def test_wrong_number_of_fields_fails(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text('a|b|c\n1|"x\ny"|3\n1|2\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_delimited(spark, str(path), FIELDS).collect()
+
+
+def test_names_that_differ_in_case_only(spark, tmp_path):
+    path = tmp_path / "t.txt"
+    path.write_text("A|a|b|c\n0|1|2|3\n")
+    assert read_delimited(spark, str(path), FIELDS).first() == ("1", "2", "3")
+    with pytest.raises(ValueError, match="case"):
+        read_delimited(spark, str(path), FIELDS, multiline=True)
+
+
+def test_quoted_breaks_in_every_table(spark, tmp_path):
+    for name, fn in schemas.TABLES.items():
+        schema = fn()
+        text = next(f.name for f in schema.fields if f.dataType.simpleString() == "string" and f.name != "nct_id")
+        row = {f.name: "" for f in schema.fields} | {"nct_id": "N1", text: '"one\ntwo"'}
+        (tmp_path / f"{name}.txt").write_text("|".join(row) + "\n" + "|".join(row.values()) + "\n")
+        r = read_delimited(spark, str(tmp_path / f"{name}.txt"), schema).first()
+        assert r["nct_id"] == "N1" and r[text] == "one\ntwo"
+
+
+def test_effects_compose(spark):
+    effect = {"=A": (False, False), "=B": (True, True), "id": (False, True), "swap": (True, False)}
+    rng = random.Random(1)
+    rows, want = [], {}
+    for f in range(8):
+        state = False
+        for s in range(30):
+            e = effect[rng.choice(["=A", "=B", "id", "swap", "swap", "swap"])]
+            rows.append((f"f{f}", s * 10, *e))
+            state = e[state]
+            want[f"f{f}", s * 10] = state
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "file string, split long, from_record boolean, from_quotes boolean")
+    assert {(r.file, r.split): r.inside for r in split_ends(df).collect()} == want
+
+
+def test_line_states():
+    s = LineStates("|")
+    closed = ["", "a|b", '"a"|b', '"a|b"', 'a"b|c', '"a""b"|', '"a"b"c|d', '|""|', '5" x 3"']
+    opened = ['"a', 'a|"b', '"a""', 'x|"a"|"b|c', '"']
+    assert [s.after(False, x) for x in closed] == [False] * len(closed)
+    assert [s.after(False, x) for x in opened] == [True] * len(opened)
+    assert [s.after(True, x) for x in ['"', 'x"|y', 'x"y|"z"', '"""']] == [False] * 4
+    assert [s.after(True, x) for x in ["", "x", 'x""', 'x"|"y', '""']] == [True] * 5
+    assert _near([0, 10, 20, 30], [True, True, False, True]) == [(0, 20), (30, 2 ** 63 - 1)]

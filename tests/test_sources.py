@@ -144,12 +144,13 @@ def test_columns_are_found_by_name(spark, tmp_path, name):
         read_delimited(spark, path, schema)
 
 
-def test_broken_record_fails_instead_of_passing_as_two(spark, tmp_path):
+def test_single_line_reading_fails_on_a_cut_record(spark, tmp_path):
     p = tmp_path / "sponsors.txt"
     p.write_text('nct_id|agency_class|lead_or_collaborator|name\nT1|INDUSTRY|lead|"Ac\nme"\n')
     with pytest.raises(Exception, match="(?i)malformed"):
-        read_delimited(spark, str(p), schemas.sponsors()).collect()
-    assert read_delimited(spark, str(p), schemas.sponsors(), multiline=True).first().name == "Ac\nme"
+        read_delimited(spark, str(p), schemas.sponsors(), multiline=False).collect()
+    for multiline in (None, True):
+        assert read_delimited(spark, str(p), schemas.sponsors(), multiline=multiline).first().name == "Ac\nme"
 
 
 def test_key_predicates_are_disjoint_and_complete(spark):
