@@ -48,7 +48,7 @@ def test_matches_oracle(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
 
 
 # -- fingerprints and near duplicates ----------------------------------------
