@@ -238,7 +238,7 @@ def odd_texts(rng, n):
     return [(rng.choice([None, *range(60)]), rng.choice([None, "", text(), text(), text()])) for _ in range(n)]
 
 
-@pytest.mark.parametrize("settings", ({}, {"BLOCK_BYTES": 3000, "BUCKET_SHARE": 5000},
+@pytest.mark.parametrize("settings", ({}, {"BLOCK_BYTES": 3000, "BUCKET_SHARE": 5000, "ANCHORS_PER_BUCKET": 300},
                                       {"BLOCK_BYTES": 3000, "HOT_CONTEXTS": 2}))
 def test_repeated_bytes_equal_brute_force(spark, monkeypatch, settings):
     for k, v in settings.items():
