@@ -50,3 +50,11 @@ def words_of(text: Column) -> Column:
 def crc_bucket(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo ``n``; a null id counts as ''."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n).cast("int")
+
+
+def fresh(df, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it, whatever the case."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name

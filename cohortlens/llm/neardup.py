@@ -24,6 +24,7 @@ class id; an empty table gives no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import WORD, shuffle_partitions, text_batches, text_or_empty
+from .common import WORD, fresh, shuffle_partitions, text_batches, text_or_empty
 from .components import components
 
 SHINGLE = 5
@@ -50,11 +51,20 @@ _U = np.uint64
 
 def matched_prefix(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
     """Longest prefix, shortening from the full label, at which a pair of the
-    given similarity shares a node of some tree with at least this recall."""
-    for k in range(depth, 1, -1):
+    given similarity shares a node of some tree with at least this recall; two
+    symbols at least, for which ``forest_trees`` may then need more trees."""
+    for k in range(depth, 2, -1):
         if 1 - (1 - threshold ** k) ** trees >= recall:
             return k
-    return 1
+    return min(2, depth)
+
+
+def forest_trees(threshold: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
+    """Trees that reach the recall at the matched prefix: ``trees``, or more."""
+    k = matched_prefix(threshold, recall, trees, depth)
+    if not 0 < threshold < 1 or not 0 < recall < 1:
+        return trees
+    return max(trees, math.ceil(math.log(1 - recall) / math.log1p(-threshold ** k)))
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -202,8 +212,9 @@ def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
     text_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
     base = base.withColumn("hash", F.xxhash64("text"))
+    trees = forest_trees(threshold, recall)
     sketches = base.mapInPandas(
-        _sketcher(TREES, DEPTH), "doc_id long, hash long, key binary, n int, labels binary").checkpoint()
+        _sketcher(trees, DEPTH), "doc_id long, hash long, key binary, n int, labels binary").checkpoint()
     entries = (sketches.where("n > 0").groupBy("key")
                .agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.count(F.lit(1)).alias("copies"),
                     F.max("n").alias("n"), F.max("labels").alias("labels"),
@@ -213,7 +224,7 @@ def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
     k = matched_prefix(threshold, recall)
     width = DEPTH * SYMBOL_BYTES
     nodes = entries.select("key", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: F.xxhash64(t, F.substring("labels", t * width + 1, F.lit(k * SYMBOL_BYTES))))).alias("node"))
     hubs = nodes.groupBy("node").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub != last")
     stars = nodes.join(hubs, "node").where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
@@ -273,12 +284,13 @@ def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: floa
     """Of each class the row with the smallest id (null first), with its own
     columns; rows without words are all kept."""
     _, per_entry, repeated = _joined(docs, threshold, recall, id_col, text_col)
+    own_id, own_hash = fresh(docs, "__id"), fresh(docs, "__hash")
     kept = per_entry.where("first = kept").select(
-        F.col("kept.doc_id").alias("__id"), F.col("kept.hash").alias("__hash"))
+        F.col("kept.doc_id").alias(own_id), F.col("kept.hash").alias(own_hash))
     text = text_or_empty(F.col(text_col))
     worded = docs.where(text.rlike(WORD))
     if repeated:
         worded = worded.dropDuplicates([id_col, text_col])
-    found = worded.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-                        & (F.xxhash64(text) == F.col("__hash")), "left_semi")
+    found = worded.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(own_id))
+                        & (F.xxhash64(text) == F.col(own_hash)), "left_semi")
     return found.unionByName(docs.where(~text.rlike(WORD)))

@@ -147,7 +147,9 @@ def place(sequences: DataFrame, max_len: int = MAX_LEN, buckets: int = BUCKETS,
     sizes = placed.groupBy("bucket", "shard").count()
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("bucket", "shard", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("offset"))
-    inside = Window.partitionBy("bucket", "shard").orderBy(F.xxhash64("id", "seq"), "id", "seq")
+    # rows that are alike in all of this may change places
+    inside = Window.partitionBy("bucket", "shard").orderBy(
+        F.xxhash64("id", "seq"), "id", "seq", "len", *[F.xxhash64(c) for c in carried])
     ranked = (placed.withColumn("row", F.row_number().over(inside))
               .join(F.broadcast(offsets), ["bucket", "shard"])
               .withColumn("rank", F.col("offset") + F.col("row") - 1)

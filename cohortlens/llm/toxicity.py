@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
-from .common import crc_bucket, text_batches
+from .common import crc_bucket, fresh, text_batches
 
 SAMPLE_ROWS = 10_000     # bound of the labelled rows that are learned from
 LEXICON_SIZE = 200
@@ -131,10 +131,12 @@ class ToxicityModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learn_from, bound: int = SAMPLE_ROWS) -> DataFrame:
-    """(doc_id, text, label, weight) of at most about ``bound`` distinct
-    labelled ids, the rarer class first, up to half of them; the weight is the
-    number of ids that one stands for. ``learn_from`` is a condition on the id
-    column."""
+    """(doc_id, text, label, weight) of about ``bound`` labelled ids, the rarer
+    class first, up to half of them, with one text per id (the one of least
+    hash); the weight is the number of ids of its class that one stands for.
+    Ids are drawn by their whole 64-bit hash, so any share can be drawn; a
+    class that has labels but of which none is drawn is an error.
+    ``learn_from`` is a condition on the id column."""
     label = F.col("toxic").cast("int")
     ids = (labels.select(F.col("doc_id"), label.alias("label"))
            .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn_from(F.col("doc_id")))
@@ -142,17 +144,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn_from, bound: int =
     sizes = {r.label: r["count"] for r in ids.groupBy("label").count().collect()}     # a row per class
     rare = min(sizes, key=lambda c: (sizes[c], c), default=None)
     first = min(sizes.get(rare, 0), bound // 2)
-    share = {c: min(1.0, (first if c == rare else bound - first) / n) for c, n in sizes.items()}
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    most, weight = F.lit(0), F.lit(1.0)
-    for c, part in share.items():
-        most = F.when(F.col("label") == c, F.lit(int(1_000_000 * part))).otherwise(most)
-        weight = F.when(F.col("label") == c, F.lit(1.0 / part)).otherwise(weight)
-    picked = ids.where(place < most).withColumn("weight", weight)
+    most = {c: hash_limit(first if c == rare else bound - first, n) for c, n in sizes.items()}
+    drawn_if = F.lit(False)
+    for c, limit in most.items():
+        drawn_if = drawn_if | ((F.col("label") == c) & (F.xxhash64("doc_id") <= F.lit(limit)))
+    picked = ids.where(drawn_if)
+    drawn = {r.label: r["count"] for r in picked.groupBy("label").count().collect()}
+    weight = F.lit(1.0)
+    for c, n in sizes.items():
+        if not drawn.get(c):
+            raise ValueError(f"none of {n} labelled ids of class {c} was drawn; raise the bound of {bound}")
+        weight = F.when(F.col("label") == c, F.lit(n / drawn[c])).otherwise(weight)
     # bounded by the sample size, so it may be broadcast
-    return (docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .join(F.broadcast(picked), "doc_id")
-            .dropDuplicates(["doc_id", "text"]))
+    found = (docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+             .join(F.broadcast(picked), "doc_id"))
+    return (found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+            .select("doc_id", "text", "label", weight.alias("weight")))
+
+
+def hash_limit(wanted: int, rows: int) -> int:
+    """Largest 64-bit hash to draw, for about ``wanted`` of ``rows`` ids."""
+    return -2 ** 63 + min(2 ** 64, 2 ** 64 * wanted // max(rows, 1)) - 1 if wanted else -2 ** 63
 
 
 def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> dict[str, float]:
@@ -223,4 +235,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataF
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents scored below the threshold, with their own columns."""
     model = fit(docs, labels, lambda c: crc_bucket(c, 5) != 0)
-    return model.score(docs, out="__score").where(F.col("__score") < threshold).drop("__score")
+    score = fresh(docs, "__score")
+    return model.score(docs, out=score).where(F.col(score) < threshold).drop(score)

@@ -17,7 +17,8 @@ BASE = " ".join(f"word{i}" for i in range(60))
 ROWS = [(0, BASE), (1, None), (2, ""), (3, " \n\t "), (4, LONG), (5, BASE), (None, "no id here"),
         (0, "another text under the same id"), (0, BASE), (6, "one"), (7, "\x1c odd  \r\n text  ")]
 CLASHES = ("fp", "key", "block", "score", "n_words", "__m", "range", "window", "rank", "n", "hash", "kept", "id",
-           "bucket", "edits", "held", "prediction", "features", "probability", "label", "count", "len")
+           "bucket", "edits", "held", "prediction", "features", "probability", "label", "count", "len",
+           "__score", "__id", "__hash", "__row", "__raw", "__text", "body", "query", "context", "weight", "calibrates")
 
 
 def clashing(df):
@@ -116,6 +117,52 @@ def test_toxicity_without_both_classes(edge, labels):
     assert toxicity.drop_toxic(edge, labels.limit(0)).count() == len(ROWS)
 
 
+def test_extra_columns_come_back(spark, edge):
+    """Rows that are dropped or kept carry columns of any name unchanged, with
+    trees and calibration learned."""
+    rng = __import__("random").Random(4)
+    words = [f"w{i}" for i in range(80)]
+    bad = [f"bad{i}" for i in range(6)]
+    rows = [(i, " ".join(rng.choices(words, k=40) + (rng.choices(bad, k=9) if i % 4 == 0 else []))) for i in range(400)]
+    docs = clashing(spark.createDataFrame(rows, "doc_id long, text string"))
+    marks = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    kept = toxicity.drop_toxic(docs, marks)
+    assert kept.columns == docs.columns
+    found = {r.doc_id for r in kept.collect()}
+    assert sum(i in found for i in range(0, 400, 4)) <= 5 and len(found) >= 290
+    one = neardup.keep_one_of_each(docs)
+    assert one.columns == docs.columns and one.count() == 400
+    assert all(r["__id"] == r["__score"] == 1 for r in one.collect())
+
+
+def test_any_share_of_labels_can_be_drawn(spark):
+    """A share of 1e-7 draws what it should; weights are of the drawn rows."""
+    n = 40_000
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"),
+                                   (F.col("id") % 2).cast("int").alias("toxic"))
+    docs = labels.select("doc_id", F.lit("some text").alias("text"))
+    all_ids = lambda c: F.lit(True)
+    sample = toxicity.labelled_sample(docs, labels, all_ids, bound=200).collect()
+    by = {c: [r.weight for r in sample if r.label == c] for c in (0, 1)}
+    assert all(60 < len(w) < 150 and abs(sum(w) - n / 2) < 1e-6 for w in by.values())
+    wanted, rows = 5_000, 50_000_000_000
+    limit = toxicity.hash_limit(wanted, rows)
+    assert abs((limit + 2 ** 63 + 1) / 2 ** 64 - 1e-7) < 1e-12
+    assert toxicity.hash_limit(5, 5) == 2 ** 63 - 1 and toxicity.hash_limit(9, 5) == 2 ** 63 - 1
+    with pytest.raises(ValueError, match="none of"):
+        toxicity.labelled_sample(docs, labels.where("doc_id = 3 or toxic = 0"), all_ids, bound=1)
+
+
+def test_one_hot_id_does_not_break_the_bound(spark):
+    docs = spark.range(3000).select((F.when(F.col("id") < 2900, 7).otherwise(F.col("id"))).cast("long").alias("doc_id"),
+                                    F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    sample = toxicity.labelled_sample(docs, labels, lambda c: F.lit(True), bound=100)
+    rows = sample.collect()
+    assert len(rows) <= 101 and len({r.doc_id for r in rows}) == len(rows)
+    assert {r.text for r in rows if r.doc_id == 7} <= {f"text {i}" for i in range(2900)}
+
+
 def test_urls(spark):
     rules = [url_filter.parse_rule("block", "bad.org/"), url_filter.parse_rule("allow", "ok.bad.org/x/"),
              url_filter.parse_rule("allow", "bad.org/")]

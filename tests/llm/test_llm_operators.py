@@ -112,6 +112,31 @@ def test_matched_prefix_shortens_to_the_recall():
     assert neardup.matched_prefix(0.8, 0.0, 20, 6) == 6
     k = neardup.matched_prefix(0.8, 0.999, 20, 6)
     assert 1 - (1 - 0.8 ** k) ** 20 >= 0.999 > 1 - (1 - 0.8 ** (k + 1)) ** 20
+    assert neardup.forest_trees(0.8, 0.999) == neardup.TREES
+    for t in (0.25, 0.3, 0.5, 0.6, 0.95):            # trees are added where two symbols do not reach the recall
+        k = neardup.matched_prefix(t, 0.999)
+        assert k >= 2 and 1 - (1 - t ** k) ** neardup.forest_trees(t, 0.999) >= 0.999
+
+
+@pytest.mark.parametrize("threshold", (0.5, 0.3))
+def test_low_thresholds_equal_brute_force(spark, threshold):
+    rng = random.Random(11)
+    base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(12)]
+    docs = []
+    for k in range(150):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(9)):
+            w[rng.randrange(60)] = f"n{rng.randrange(999)}"
+        docs.append((k, " ".join(w)))
+    sets = {i: shingles(t) for i, t in docs}
+    links = collections.Counter()
+    for i, j in itertools.combinations(sets, 2):
+        if len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]):
+            links[i] += 1
+            links[j] += 1
+    got = neardup.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), threshold).collect()
+    assert sum(r.n_links for r in got) >= 0.999 * sum(links.values())
+    assert all(r.n_links <= links[r.doc_id] for r in got)
 
 
 def test_components(spark):
