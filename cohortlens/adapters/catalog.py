@@ -16,6 +16,7 @@ from .. import constants as K
 from ..functions import columns as C
 from ..operators import audits as AU
 from ..operators import bands as BA
+from ..operators import cells as CE
 from ..operators import cohort as CO
 from ..operators import dashboard as DB
 from ..operators import distributions as DI
@@ -73,6 +74,8 @@ register("sponsor_segmentation")(lambda s, d: SE.sponsor_segmentation(_m(s, d)))
 register("sponsor_segmentation_min50")(lambda s, d: SE.sponsor_segmentation(_m(s, d), min_trials=50))
 register("results_compliance")(lambda s, d: SE.results_compliance(_m(s, d)))
 register("key_insights")(lambda s, d: SE.key_insights(_m(s, d)))
+for _name, _report in CE.CELL_REPORTS.items():     # the same reports from one scan of the master
+    register(f"{_name}_one_scan")(lambda s, d, f=_report: f(CE.report_cells(_m(s, d))))
 register("withdrawal_reasons")(lambda s, d: TK.withdrawal_reasons(
     _t(s, d).drop_withdrawals, CO.cohort_ids(_t(s, d).studies)))
 register("high_risk_trials")(lambda s, d: TK.high_risk_trials(_m(s, d)))
@@ -189,6 +192,15 @@ def _lab(s, d):
 
 register("metric_auc")(lambda s, d: ME.auc(_lab(s, d)))
 register("metric_avg_precision")(lambda s, d: ME.average_precision(_lab(s, d)))
+
+
+def _lab_by_phase(s, d):
+    return pseudo_scored(s, d).select("phase", F.col("risk_score").alias("score"),
+                                      F.col("is_terminated").alias("label"), "prediction")
+
+
+register("metrics_by_phase")(lambda s, d: ME.ranking_metrics(_lab_by_phase(s, d), by=["phase"]))
+register("roc_points_by_phase")(lambda s, d: ME.roc_points(_lab_by_phase(s, d), by=["phase"]))
 register("metric_f1_macro")(lambda s, d: ME.f1_macro(_lab(s, d)))
 register("roc_points")(lambda s, d: ME.roc_points(_lab(s, d)))
 register("roc_points_thinned")(lambda s, d: ME.roc_points(_lab(s, d), thin=True))

@@ -58,8 +58,13 @@ def funnel_stages(master: DataFrame, nested: bool = False) -> DataFrame:
 
 def funnel_with_rates(master: DataFrame, nested: bool = False) -> DataFrame:
     """Stage counts, % of stage 1 (NULL if stage 1 is 0) and drop-offs."""
+    return rates_of(funnel_stages(master, nested))
+
+
+def rates_of(stages: DataFrame) -> DataFrame:
+    """The columns of E2 from the one row of E1."""
     s = [F.col(c) for c in STAGE_COLUMNS]
-    return funnel_stages(master, nested).select(
+    return stages.select(
         *STAGE_COLUMNS,
         *[C.pct(s[i], s[0]).alias(f"stage{i + 1}_pct_of_total") for i in range(1, 5)],
         *[(s[i - 1] - s[i]).alias(f"drop_stage{i}_to_{i + 1}") for i in range(1, 5)],

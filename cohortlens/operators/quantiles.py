@@ -17,49 +17,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.frames import attach_row
-from ..session import checkpoint_dir
 from .metrics import DEFAULT_BUCKETS, cumulative
 
 
-def _median_of_counts(counts: DataFrame, alias: str, buckets: int | None) -> DataFrame:
-    """Median from (score, _n) rows: one row per distinct value with its count."""
-    x = counts.select("score", F.lit(1).alias("label"), "_n")
-    c = cumulative(x, "score", "label", buckets, weight="_n")   # pos = rows at the value, P = all rows
-    lo = F.floor((F.col("P") - 1) / 2)
-    hi = F.floor(F.col("P") / 2)
-
-    def at(rank):
-        return F.max(F.when((F.col("pos_below") <= rank) & (rank < F.col("pos_below") + F.col("pos")),
-                            F.col("score")))
-
-    return (c.agg(at(lo).alias("_lo"), at(hi).alias("_hi"))
-            .select((F.lit(0.5) * F.col("_lo") + F.lit(0.5) * F.col("_hi")).alias(alias)))
-
-
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Rows per (column, non-null value) for several columns in one pass over
-    ``df``, materialized once (a reliable checkpoint): the input -- often a
-    join-heavy master -- is computed once for all medians."""
-    checkpoint_dir(df.sparkSession)
+def stacked_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(_col, score): every non-null value of the columns, from one scan."""
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    stacked = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_col, score)").where(F.col("score").isNotNull())
-    return stacked.groupBy("_col", "score").agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    stacked = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (_col, score)")
+    return stacked.where(F.col("score").isNotNull())
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], prefix: str = "",
                   buckets: int | None = DEFAULT_BUCKETS, aliases: Sequence[str] | None = None) -> DataFrame:
     """One row with the exact median of each column (``<prefix><col>`` or the
-    given ``aliases``); NULL for a column without values. Each median is a
-    one-row aggregate, so pairing them pairs single rows. Runs jobs when called
-    (value counts and cut points)."""
-    counts = value_counts(df, cols)
+    given ``aliases``); NULL for a column without values. The columns are keys
+    of one cumulative pass: one scan, one checkpoint of the counts per distinct
+    value, one set of cut points. Runs jobs when called."""
+    x = stacked_values(df, cols).select("_col", "score", F.lit(1).alias("label"))
+    c = cumulative(x, "score", "label", buckets, by=["_col"])       # pos = rows at the value, P = all rows
+    lo = F.floor((F.col("P") - 1) / 2)
+    hi = F.floor(F.col("P") / 2)
+
+    def at(rank, col):
+        here = (F.col("_col") == F.lit(col)) & (F.col("pos_below") <= rank) & (rank < F.col("pos_below") + F.col("pos"))
+        return F.max(F.when(here, F.col("score")))
+
     names = list(aliases) if aliases else [prefix + c for c in cols]
-    out = None
-    for c, name in zip(cols, names):
-        m = _median_of_counts(counts.where(F.col("_col") == F.lit(c)), name, buckets)
-        out = m if out is None else attach_row(out, m)
-    return out
+    return c.agg(*[(F.lit(0.5) * at(lo, col) + F.lit(0.5) * at(hi, col)).alias(n) for col, n in zip(cols, names)])
 
 
 def exact_median(df: DataFrame, col: str, alias: str | None = None,
