@@ -242,6 +242,17 @@ def _model_comparison(s, d):
     return res.comparison.withColumn("is_best", (F.col("model") == F.lit(res.best)).cast("int"))
 
 
+@register("boost_root_splits")
+def _boost_root_splits(s, d):
+    """M6, first round: the best split of every feature over the training rows.
+    Weights are whole numbers here, so that sums are exact in any engine."""
+    from ..plans import boosting as BO
+    train = (_features(s, d).where(F.col("is_test") == 0)
+             .withColumn("w", F.when(F.col(K.TARGET) == 1, F.lit(3.0)).otherwise(F.lit(1.0))))
+    rounded = [F.round(c, 9).alias(c) if c in LOG_FEATURES else F.col(c) for c in K.FEATURES]
+    return BO.root_splits(train.select(K.TARGET, "w", *rounded), K.FEATURES, K.TARGET, "w")
+
+
 @register("feature_importance")
 def _feature_importance(s, d):
     from ..plans import models as MO
@@ -269,7 +280,8 @@ def _risk_scores_columns(s, d):
     scored = QUERIES["risk_scores"](s, d)
     fits = F.col("risk_score").between(0, 1) & C.band("risk_score").eqNullSafe(F.col("risk_band"))
     return scored.select("nct_id", "overall_status", "is_terminated", "phase", "agency_class", "enrollment",
-                         "duration_months", "total_withdrawals", fits.alias("score_fits"))
+                         "duration_months", "site_count", "total_withdrawals",
+                         C.band("risk_score").isNotNull().alias("has_band"), fits.alias("score_fits"))
 
 
 ORACLE_SQL: dict[str, str] = oracle.QUERIES

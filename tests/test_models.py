@@ -95,3 +95,20 @@ def test_prepare_default_split_is_exact(planted):
     prep = MO.prepare(planted)
     n = prep.count()
     assert prep.where("is_test = 1").count() == -(-n * 2 // 10)
+
+
+def test_newton_booster_in_the_comparison(spark, planted):
+    """The second-order booster takes the third learner's place, is compared,
+    scores the cohort and gives importances."""
+    prepared = MO.prepare(planted)
+    res = MO.train_and_compare(prepared, MO.ModelSettings(lr_max_iter=10, rf_trees=3, gbt_rounds=6, gbt_depth=3,
+                                                          gbt_step=0.3, booster="newton"))
+    rows = {r.model: r for r in res.comparison.collect()}
+    assert set(rows) == set(MO.MODEL_NAMES) and rows[MO.MODEL_NAMES[2]].roc_auc > 0.7
+    newton = res.models[MO.MODEL_NAMES[2]]
+    scored = MO.score_all(newton, prepared)
+    assert scored.where("risk_score between 0 and 1 and risk_band is not null").count() == prepared.count()
+    imp = {r.feature: r.importance for r in MO.feature_importance(newton).collect()}
+    assert abs(sum(imp.values()) - 1) < 1e-9 and imp["log_enrollment"] + imp["log_withdrawals"] > 0.5
+    with pytest.raises(ValueError, match="booster"):
+        MO.fit_one(prepared, settings=MO.ModelSettings(booster="other"))
