@@ -6,6 +6,7 @@ The matching DuckDB SQL lives in ``oracle.QUERIES`` under the same key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -228,6 +229,31 @@ register("dash_cross_filter")(lambda s, d: DB.views_long(DB.dashboard_views(
     DB.materialized(_cube(s, d)), {"sponsor": F.col("agency_class") == "OTHER"})))
 
 
+@register("cube_from_batches")
+def _cube_from_batches(s, d):
+    """E18-E20 kept up to date: the scored trials in three batches, the second
+    delivered twice and the first two compacted before the third comes."""
+    from ..plans.cube_store import CubeStore
+    from ..session import checkpoint_dir
+    store = CubeStore(s, f"{checkpoint_dir(s)}/cube-{uuid.uuid4().hex}")
+    scored = pseudo_scored(s, d).select(*SCORED_COLUMNS)
+    batch = lambda k: scored.where(F.pmod("nct_id", F.lit(3)) == k)
+    for k in (0, 1, 1):
+        store.add(k, batch(k))
+    store.compact()
+    store.add(2, batch(2))
+    return store.cube()
+
+
+@register("null_audit_written")
+def _null_audit_written(s, d):
+    """E11 of the written cohort, from the footers of its files."""
+    from ..session import checkpoint_dir
+    path = f"{checkpoint_dir(s)}/cohort-{uuid.uuid4().hex}"
+    CO.filter_cohort(_t(s, d).studies).write.parquet(path)
+    return AU.null_audit_written(s, path)
+
+
 # --- model training and scoring (rows-only checks: learners are not SQL) ----
 # The library's default settings, on all rows.
 def _prepared(s, d):

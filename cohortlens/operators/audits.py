@@ -8,14 +8,15 @@ aggregate of the grouped frame, paired with it by a one-row join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions import columns as C
 from ..functions.frames import attach_row
+from ..sources.footers import footer_counts
 from ..sources.tables import TrialTables
 from . import cohort as CO
 from . import quantiles as Q
@@ -44,6 +45,26 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
             .orderBy(F.desc("null_pct"), F.desc("null_count"), "column_name"))
 
 
+def null_audit_written(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """E11 of a written Parquet table from its footers: no data page is read
+    (``sources.footers``). Runs a job; the same rows as ``null_audit``."""
+    found = footer_counts(spark, path, list(columns) if columns is not None else None)
+    rows = [(c, found.rows - n, found.rows) for c, n in found.present.items() if n < found.rows]
+    long = spark.createDataFrame(rows, "column_name string, null_count long, _n long")
+    return (long.select("column_name", "null_count", C.pct("null_count", "_n").alias("null_pct"))
+            .orderBy(F.desc("null_pct"), F.desc("null_count"), "column_name"))
+
+
+def row_counts_written(spark: SparkSession, raw: Mapping[str, str], reduced: Mapping[str, str]) -> DataFrame:
+    """E15 of written tables from their footers: rows per table as loaded and
+    after the cohort reduction (NULL where a table was not written)."""
+    def rows(paths: Mapping[str, str], name: str) -> int | None:
+        return footer_counts(spark, paths[name], []).rows if name in paths else None
+    names = [*raw, *[n for n in reduced if n not in raw]]
+    return spark.createDataFrame([(n, rows(raw, n), rows(reduced, n)) for n in names],
+                                 "table_name string, raw_rows long, cohort_rows long")
+
+
 def phase_status_crosstab(cohort: DataFrame, statuses: Sequence[str] = K.COHORT_STATUSES,
                           terminated: str = K.STATUS_TERMINATED) -> DataFrame:
     """Phase x status counts (0-filled), total and termination %.
