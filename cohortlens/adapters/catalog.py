@@ -29,7 +29,9 @@ from ..operators import quantiles as QU
 from ..operators import rollups as RO
 from ..operators import segments as SE
 from ..operators import topk as TK
-from ..sources.delimited import parse_delimited
+from ..session import checkpoint_dir
+from ..sources.delimited import parse_delimited, read_delimited
+from ..sources.sinks import read_scored_csv, write_csv
 from . import oracle
 from .fixtures import fixture_tables
 
@@ -52,6 +54,11 @@ def _m(spark, d, fill="sql"):
     return MA.master_trial(_t(spark, d), fill=fill)
 
 
+def _scratch(spark, name):
+    """A new folder that driver and executors share."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # --- cohort, rollups, master -------------------------------------------------
 register("cohort")(lambda s, d: CO.base_cohort(_t(s, d).studies))
 register("lead_sponsor")(lambda s, d: RO.lead_sponsor(_t(s, d).sponsors))
@@ -77,8 +84,8 @@ register("results_compliance")(lambda s, d: SE.results_compliance(_m(s, d)))
 register("key_insights")(lambda s, d: SE.key_insights(_m(s, d)))
 for _name, _report in CE.CELL_REPORTS.items():     # the same reports from one scan of the master
     register(f"{_name}_one_scan")(lambda s, d, f=_report: f(CE.report_cells(_m(s, d))))
-register("withdrawal_reasons")(lambda s, d: TK.withdrawal_reasons(
-    _t(s, d).drop_withdrawals, CO.cohort_ids(_t(s, d).studies)))
+register("withdrawal_reasons")(lambda s, d: (lambda t: TK.withdrawal_reasons(
+    t.drop_withdrawals, CO.cohort_ids(t.studies)))(_t(s, d)))
 register("high_risk_trials")(lambda s, d: TK.high_risk_trials(_m(s, d)))
 
 
@@ -87,7 +94,7 @@ register("class_balance")(lambda s, d: AU.class_balance(CO.filter_cohort(_t(s, d
 register("class_balance_target")(lambda s, d: AU.class_balance(_m(s, d, "pandas"), by=K.TARGET))
 register("null_audit")(lambda s, d: AU.null_audit(CO.filter_cohort(_t(s, d).studies)))
 register("phase_status_crosstab")(lambda s, d: AU.phase_status_crosstab(CO.filter_cohort(_t(s, d).studies)))
-register("sponsor_distribution")(lambda s, d: AU.sponsor_distribution(_t(s, d).studies, _t(s, d).sponsors))
+register("sponsor_distribution")(lambda s, d: (lambda t: AU.sponsor_distribution(t.studies, t.sponsors))(_t(s, d)))
 register("enrollment_stats")(lambda s, d: AU.enrollment_stats(CO.filter_cohort(_t(s, d).studies)))
 register("row_count_audit")(lambda s, d: AU.row_count_audit(_t(s, d)))
 register("median_fill")(lambda s, d: AU.median_fill(
@@ -109,6 +116,12 @@ def _na_tokens(s, d):
     return AU.na_token_audit(st.select("nct_id", *planted), columns=list(TEXT_COLUMNS))
 
 
+DELIMITED_SCHEMA = T.StructType([
+    T.StructField("nct_id", T.LongType()), T.StructField("start_date", T.DateType()),
+    T.StructField("enrollment", T.DoubleType()), T.StructField("brief_title", T.StringType()),
+    T.StructField("why_stopped", T.StringType()), T.StructField("phase", T.StringType())])
+
+
 @register("delimited_by_name")
 def _delimited_by_name(s, d):
     """A1: the studies rendered as delimited records, columns reordered, with
@@ -125,10 +138,26 @@ def _delimited_by_name(s, d):
         "enrollment": F.when(F.col("nct_id") % 6 == 0, F.lit("many")).otherwise(F.col("enrollment").cast("string")),
         "start_date": F.col("start_date").cast("string")}
     lines = st.select(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in fields.values()]).alias("line"))
-    schema = T.StructType([T.StructField("nct_id", T.LongType()), T.StructField("start_date", T.DateType()),
-                           T.StructField("enrollment", T.DoubleType()), T.StructField("brief_title", T.StringType()),
-                           T.StructField("why_stopped", T.StringType()), T.StructField("phase", T.StringType())])
-    return parse_delimited(lines, list(fields), schema)
+    return parse_delimited(lines, list(fields), DELIMITED_SCHEMA)
+
+
+@register("delimited_files")
+def _delimited_files(s, d):
+    """A1 from files: the same columns written as a pipe-delimited export, the
+    quoted ones with pipes, quotes and line breaks, then read by the file
+    reader, which has to find where records begin in every split."""
+    st = _t(s, d).studies
+    folder = _scratch(s, "export")
+    st.select(
+        F.col("nct_id").cast("string").alias("id"),
+        F.concat_ws("", F.lit('a|"b"'), F.lit("\n"), F.col("nct_id").cast("string")).alias("brief_title"),
+        F.when(F.col("nct_id") % 5 == 0, F.lit("N/A")).otherwise(F.concat(F.lit("x|"), F.col("why_stopped")))
+        .alias("why_stopped"),
+        "phase", "nct_id",
+        F.when(F.col("nct_id") % 6 == 0, F.lit("many")).otherwise(F.col("enrollment").cast("string")).alias("enrollment"),
+        F.col("start_date").cast("string").alias("start_date"),
+    ).write.option("header", True).option("sep", "|").option("quote", '"').option("escape", '"').csv(folder)
+    return read_delimited(s, folder, DELIMITED_SCHEMA)
 
 
 @register("date_coerce")
@@ -234,8 +263,7 @@ def _cube_from_batches(s, d):
     """E18-E20 kept up to date: the scored trials in three batches, the second
     delivered twice and the first two compacted before the third comes."""
     from ..plans.cube_store import CubeStore
-    from ..session import checkpoint_dir
-    store = CubeStore(s, f"{checkpoint_dir(s)}/cube-{uuid.uuid4().hex}")
+    store = CubeStore(s, _scratch(s, "cube"))
     scored = pseudo_scored(s, d).select(*SCORED_COLUMNS)
     batch = lambda k: scored.where(F.pmod("nct_id", F.lit(3)) == k)
     for k in (0, 1, 1):
@@ -248,12 +276,45 @@ def _cube_from_batches(s, d):
 @register("null_audit_written")
 def _null_audit_written(s, d):
     """E11 of the written cohort, from the footers of its files."""
-    from ..session import checkpoint_dir
-    path = f"{checkpoint_dir(s)}/cohort-{uuid.uuid4().hex}"
+    path = _scratch(s, "cohort")
     CO.filter_cohort(_t(s, d).studies).write.parquet(path)
     return AU.null_audit_written(s, path)
 
 
+# --- tables and reports through files ----------------------------------------
+@register("bucketed_master")
+def _bucketed_master(s, d):
+    """A4: the master over bucketed tables and the side tables of hot trials,
+    read by their manifest."""
+    from ..plans.ingest import ingest_bucketed, read_bucketed
+    folder = _scratch(s, "bucketed")
+    ingest_bucketed(_t(s, d), folder, buckets=8, prefix=f"k{uuid.uuid4().hex[:8]}_")
+    return read_bucketed(s, folder).per_trial(MA.master_trial_sql)
+
+
+@register("scored_csv")
+def _scored_csv(s, d):
+    """The scored table written as CSV and read back with its types."""
+    folder = _scratch(s, "scored")
+    write_csv(pseudo_scored(s, d).select(*SCORED_COLUMNS), folder)
+    return read_scored_csv(s, folder, id_type=T.LongType())
+
+
+@register("report_files")
+def _report_files(s, d):
+    """Every report of the runner, one of them broken, written and counted
+    from its files."""
+    from ..plans.reports import REPORTS, run_reports, write_reports
+    reports = {**REPORTS, "broken": lambda t, m: m.select("no_such_column")}
+    run = write_reports(run_reports(_t(s, d), reports=reports), _scratch(s, "reports"), fmt="parquet")
+    rows = [(n, s.read.parquet(run.written[n]).count() if n in run.written else None, n in run.errors) for n in reports]
+    return s.createDataFrame(rows, "report string, n_rows long, failed boolean")
+
+
+register("tolerant_projection")(lambda s, d: MA.pick_columns(
+    _m(s, d), ["phase", "no_such_column", "nct_id", "agency_class", "minimum_age"]))
+
+
 # --- model training and scoring (rows-only checks: learners are not SQL) ----
 # The library's default settings, on all rows.
 def _prepared(s, d):
@@ -292,6 +353,14 @@ def _risk_scores(s, d):
     return MO.score_all(MO.fit_one(prep), prep)
 
 
+@register("model_checks")
+def _model_checks(s, d):
+    """What must hold of every trained model (M4, M5, A9, M10, M13), a row per
+    check: see ``plans.model_checks``."""
+    from ..plans.model_checks import model_checks
+    return model_checks(_prepared(s, d), _scratch(s, "model"))
+
+
 @register("imputer_medians")
 def _imputer_medians(s, d):
     """M2: the medians that the imputer takes from the training rows."""
