@@ -3,7 +3,9 @@
 Alternating large-star and small-star steps turn any edge list into stars
 around the smallest vertex of each component. A step only needs each vertex's
 smallest neighbour (a grouped minimum, combined before the shuffle), so no
-neighbour list is ever gathered. The edges are checkpointed after each round.
+neighbour list is ever gathered. Edges of a vertex with very many of them meet
+that minimum by a broadcast of such vertices, of which there can only be few;
+the edges stay where they are. The edges are checkpointed after each round.
 """
 
 from __future__ import annotations
@@ -12,6 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from .common import shuffle_partitions
+
+HUB_EDGES = 500              # a vertex with fewer edges is no hub
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,13 +31,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _state(star)
     while before[0]:
         both = star.union(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.join(low, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where(F.col("v") != F.col("m"))
-                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low.select("u", F.col("m").alias("v"))).distinct())
+        large = (_with_least(both, F.least("u", F.min("v")), 2 * before[0]).where(F.col("v") > F.col("u"))
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().checkpoint())
+        small = _with_least(large, F.min("v"), before[0])
+        small = (small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .union(small.select("u", F.col("m").alias("v"))).distinct())
         star = small.checkpoint()
         now = _state(star)
         if now == before:
@@ -42,6 +45,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .union(star.select(F.col("v").alias("vertex"), F.col("v").alias("root")).distinct()))
 
 
+def _with_least(edges: DataFrame, least, n: int) -> DataFrame:
+    """(u, v, m): every edge with ``least`` over all edges of its ``u``. Hubs,
+    vertices with more than a partition's share of the ``n`` edges, are fewer
+    than there are partitions."""
+    low = edges.groupBy("u").agg(least.alias("m"), F.count(F.lit(1)).alias("_n"))
+    share = max(HUB_EDGES, n // shuffle_partitions(edges.sparkSession))
+    hubs = F.broadcast(low.where(F.col("_n") > share).select("u", F.col("m").alias("_hub")))
+    marked = edges.join(hubs, "u", "left")
+    near = marked.where("_hub is null").select("u", "v").join(low.where(F.col("_n") <= share).select("u", "m"), "u")
+    return near.union(marked.where("_hub is not null").select("u", "v", F.col("_hub").alias("m")))
+
+
 def _state(star: DataFrame) -> tuple:
     r = star.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
     return r.n, r.x
