@@ -376,9 +376,10 @@ class ShardTransform:
 
 
 def merge_transforms(shards: list[ShardTransform], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First bytes of all whole windows (texts one after the other, each with
-    its END) in the order of the windows, and the interval of equal ones each
-    stands in. ``lengths`` are those of the texts, END included."""
+    """First bytes of whole windows (texts one after the other, each with its
+    END) in the order of the windows, and the interval of equal ones each
+    stands in; windows that occur once may be left out. ``lengths`` are those
+    of the texts, END included."""
     offsets = np.cumsum([0] + [len(s.rows) for s in shards[:-1]])
     pairs = np.concatenate([s.pairs for s in shards])
     up = np.concatenate([s.up + o for s, o in zip(shards, offsets)]).astype(np.int32)
@@ -386,15 +387,18 @@ def merge_transforms(shards: list[ShardTransform], lengths: np.ndarray) -> tuple
     inside = np.arange(len(pairs)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     rows = np.flatnonzero(inside[place] >= WIDTH).astype(np.int32)     # a whole window ends in front of these
     interval = np.zeros(len(rows), np.int32)
-    apart = np.zeros(len(rows), bool)
     for _ in range(WIDTH // 2):
         front = pairs[rows]
         order = np.argsort(front, kind="stable")         # radix sort of 16-bit numbers
         front, interval = front[order], interval[order]
-        np.not_equal(front[1:], front[:-1], out=apart[1:])
-        apart[1:] |= interval[1:] != interval[:-1]
-        interval = np.cumsum(apart, dtype=np.int32)
+        head = np.ones(len(rows) + 1, bool)              # where an interval starts
+        np.not_equal(front[1:], front[:-1], out=head[1:-1])
+        head[1:-1] |= interval[1:] != interval[:-1]
+        interval = np.cumsum(head[:-1], dtype=np.int32)
         rows = up[rows[order]]
+        alone = head[:-1] & head[1:]
+        if 10 * np.count_nonzero(alone) > len(rows):     # an interval of one row is not repeated
+            rows, interval = rows[~alone], interval[~alone]
     return place[rows], interval
 
 
@@ -416,11 +420,13 @@ def repeated_windows(texts: list[bytes], least: np.ndarray) -> tuple[np.ndarray,
     starts = np.array(starts)
     lengths = np.array([len(t) + 1 for t in texts])
     place, interval = merge_transforms(shards, lengths)
+    flags = np.zeros(at, bool)
+    if not len(place):
+        return flags, starts
     owner = np.repeat(np.arange(len(texts)), lengths)[place]
     head = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
     smallest = np.minimum.reduceat(least[owner], head)
     smallest = np.repeat(smallest, np.diff(np.append(head, len(owner))))
-    flags = np.zeros(at, bool)
     flags[place] = smallest < least[owner]
     return flags, starts
 
