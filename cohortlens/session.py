@@ -54,7 +54,7 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
     can coalesce small partitions and split skewed ones. Joins broadcast a
     side only after AQE has measured it below 64 MB; explicit broadcasts in
     this package are bounded by construction (one-row aggregates, per-class
-    tables, <= 1,024 metric ranges)."""
+    tables, one row per range of 100,000 distinct scores)."""
     cores = max(1, executors * cores_per_executor)
     shuffle = max(3 * cores, int(input_bytes // target_partition_bytes))
     return {
