@@ -30,8 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from .bpe import PieceEncoder, slices
-from .common import shuffle_partitions, text_batches, text_or_empty
+from .common import settled, shuffle_partitions, text_batches, text_or_empty
 
 BLOCK_CHARS = 32_000_000
 BLOCK_SCHEMA = "block long, ids array<bigint>, has_id array<boolean>, counts array<bigint>, sequence binary, words binary"
@@ -209,7 +210,9 @@ def _assembler(finish: Callable[[np.ndarray], dict]):
 def _encoded(docs: DataFrame, path: str, pattern: str, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
     partitions = shuffle_partitions(docs.sparkSession)
     text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text"))
+    checkpoint_dir(docs.sparkSession)
+    # words are numbered as they come, so a repeated task must see the same rows in the same order
+    rows = settled(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(F.col(text_col)).alias("text")))
     blocks = rows.mapInPandas(_block_maker(pattern), BLOCK_SCHEMA).repartition(partitions, "block")
     packs = (blocks.mapInPandas(_word_dealer(2 * partitions), "bucket long, block long, numbers binary, words binary")
              .repartition(partitions, "bucket").sortWithinPartitions("bucket")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,3 +59,13 @@ def fresh(df, name: str) -> str:
     while name.lower() in have:
         name += "_"
     return name
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` if its rows come in the same order whenever a task is repeated (a
+    scan with projections and filters), else a checkpoint of it: for operators
+    that number rows or words as they come."""
+    moves = ("Join", "Aggregate", "Repartition", "Rebalance", "Sort", "Window", "Deduplicate", "Distinct", "Limit",
+             "MapInPandas", "FlatMapGroups", "MapInArrow")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return df.checkpoint() if any(re.search(rf"^\W*(Global|Local)?{m}", line) for line in plan.splitlines() for m in moves) else df

@@ -3,11 +3,12 @@
 1. Sketch. Each text becomes the set of its five-word shingles. Texts with
    equal sets form one entry (a grouped aggregation, so copies never pair up),
    which gets one label per tree: a sequence of min-hash symbols.
-2. Forest. Sorted by label, a tree is a prefix trie. The matched prefix starts
+2. Forest. Ordered by label, a tree is a prefix trie. The matched prefix starts
    at the full label and is shortened one symbol at a time until a pair at the
-   threshold is found in at least one tree with the target recall. Entries
-   under one trie node are linked to the node's smallest entry (a star, not
-   all pairs), and the stars' connected components are the candidate groups.
+   threshold is found in at least one tree with the target recall. On each
+   level the entries under one trie node are linked to the node's smallest
+   entry (a star, not all pairs), which alone goes on to the next level; the
+   links' connected components are the candidate groups.
 3. Verification. All pairs inside a candidate group are compared exactly. A
    large group is cut into blocks of bounded size and each pair of blocks is a
    task of its own that returns counts per entry, so neither the pairs nor the
@@ -202,6 +203,30 @@ def _verifier(threshold: float):
     return verify
 
 
+def forest_edges(entries: DataFrame, trees: int, shortest: int) -> DataFrame:
+    """(a, b): links of entries (key, labels) that share a trie node of at
+    least ``shortest`` symbols in some tree. The tries are walked from the full
+    labels up: entries under one node are linked to its least entry, which alone
+    stands for the node one symbol further up, where only nodes that part there
+    are linked. Every node of that depth ends up connected; the entries of a
+    node meet once, however many levels it has."""
+    width = DEPTH * SYMBOL_BYTES
+    leaf = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        t.alias("tree"), F.substring("labels", t * width + 1, F.lit(width)).alias("label")))
+    level = entries.select(F.col("key").alias("entry"), F.inline(leaf))
+    edges = None
+    for depth in range(DEPTH, shortest - 1, -1):
+        level = level.select("entry", F.xxhash64("tree", F.substring("label", 1, depth * SYMBOL_BYTES)).alias("node"),
+                             "tree", "label")
+        nodes = level.groupBy("node").agg(F.min("entry").alias("least"), F.max("entry").alias("last"),
+                                          F.min(F.struct("entry", "tree", "label")).alias("first"))
+        links = (level.select("entry", "node").join(nodes.where("least != last").select("node", "least"), "node")
+                 .where("entry != least").select(F.col("entry").alias("a"), F.col("least").alias("b")))
+        edges = links if edges is None else edges.union(links)
+        level = nodes.select("first.*")
+    return edges
+
+
 def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
             text_col: str) -> tuple[DataFrame, DataFrame, bool]:
     """Sketches (doc_id, hash, key, n) of all rows; per key its copies, links
@@ -220,15 +245,7 @@ def _joined(docs: DataFrame, threshold: float, recall: float, id_col: str,
                     F.max("n").alias("n"), F.max("labels").alias("labels"),
                     F.min("doc_id").alias("least_id")).checkpoint())
 
-    # the forest: trie nodes at the matched prefix, stars to their smallest entry
-    k = matched_prefix(threshold, recall)
-    width = DEPTH * SYMBOL_BYTES
-    nodes = entries.select("key", F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.xxhash64(t, F.substring("labels", t * width + 1, F.lit(k * SYMBOL_BYTES))))).alias("node"))
-    hubs = nodes.groupBy("node").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub != last")
-    stars = nodes.join(hubs, "node").where("key != hub").select(F.col("key").alias("a"), F.col("hub").alias("b"))
-    groups = components(stars)
+    groups = components(forest_edges(entries, trees, matched_prefix(threshold, recall)))
 
     # exact verification of each group, in pairs of bounded blocks
     members = groups.join(entries.drop("labels").withColumnRenamed("key", "vertex"), "vertex")

@@ -8,6 +8,10 @@ only these, widened to the neighbours whose pre-tokens could change across a
 segment border, and updates the sums on the way up. Segments that an edit
 empties stay as empty leaves, so a tree keeps its shape.
 
+Trees are columns of a table (``build_trees``): the segments, and the sums of
+all nodes. A later batch of edits, joined to the stored trees, updates them
+(``edit_trees``) without encoding or counting what it does not touch.
+
 Defined results: a null or empty text has one empty segment and no tokens;
 edits are (begin, end, replacement) in code points of the text as it is when
 they are applied, one after the other, clipped to its ends; null edits change
@@ -70,6 +74,15 @@ class SegmentTree:
             self.tokens[k] = self.tokens[2 * k] + self.tokens[2 * k + 1]
         self.reencoded_segments = self.reencoded_chars = 0
 
+    @classmethod
+    def stored(cls, segments: Sequence[str], chars: Sequence[int], tokens: Sequence[int]) -> "SegmentTree":
+        """A tree as it was kept, without counting anything."""
+        tree = cls.__new__(cls)
+        tree.segments, tree.leaves = list(segments), len(chars) // 2
+        tree.chars, tree.tokens = [int(c) for c in chars], [int(t) for t in tokens]
+        tree.reencoded_segments = tree.reencoded_chars = 0
+        return tree
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -144,39 +157,78 @@ def piece_counter(encoding: tiktoken.Encoding) -> PieceEncoder:
     return PieceEncoder(lambda pieces: [np.asarray(encoding.encode_ordinary(p), "<u4") for p in pieces])
 
 
-def count_edited(docs: DataFrame, edits: Column, path: str, pattern: str, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """Token counts of every document before and after its ``edits`` (an array
-    of (begin, end, replacement)), and how much was encoded again."""
+TREE_COLUMNS = ("segments", "chars", "tokens")
+TREE_SCHEMA = "segments array<string>, chars array<bigint>, tokens array<bigint>"
+COUNT_SCHEMA = ("n_tokens long, n_tokens_edited long, n_chars long, n_chars_edited long, n_segments long, "
+                "segments_reencoded long, chars_reencoded long")
+
+
+def build_trees(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
+                edits: Column | None = None) -> DataFrame:
+    """A row per document: id, segments, and the characters and tokens below
+    every node of its tree (root second, leaves from the middle on); a column
+    ``edits`` may come along."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding = token_encoding(path, pattern)
-        encoder = piece_counter(encoding)
-        recount = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+        encoder = piece_counter(token_encoding(path, pattern))
         for pdf in batches:
             texts = pdf["text"].tolist()
             for cut in slices(texts):
                 parts = [segments_of(t) for t in texts[cut]]
                 counts = encoder.encode([s for p in parts for s in p])[1]
-                rows, at = [], 0
-                for segments, own in zip(parts, pdf["edits"].iloc[cut]):
-                    tree = SegmentTree(segments, counts[at:at + len(segments)])
+                trees, at = [], 0
+                for segments in parts:
+                    trees.append(SegmentTree(segments, counts[at:at + len(segments)]))
                     at += len(segments)
-                    before, chars = tree.n_tokens, tree.n_chars
-                    for e in (own if own is not None else ()):
-                        tree.edit(e["begin"], e["end"], e["replacement"], recount)
-                    rows.append((before, tree.n_tokens, chars, tree.n_chars, len(segments),
-                                 tree.reencoded_segments, tree.reencoded_chars))
-                out = pd.DataFrame(rows, columns=["n_tokens", "n_tokens_edited", "n_chars", "n_chars_edited",
-                                                  "n_segments", "segments_reencoded", "chars_reencoded"])
-                out.insert(0, "id", pdf["id"].iloc[cut].to_numpy())
-                yield out
+                out = pdf.iloc[cut].drop(columns="text")
+                yield out.assign(segments=[t.segments for t in trees], chars=[t.chars for t in trees],
+                                 tokens=[t.tokens for t in trees])
 
     text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(F.col(text_col)).alias("text"), edits.alias("edits"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInPandas(
-        run, f"id {kind}, n_tokens long, n_tokens_edited long, n_chars long, n_chars_edited long, n_segments long, "
-             "segments_reencoded long, chars_reencoded long").withColumnRenamed("id", id_col)
+    carried = [edits.alias("edits")] if edits is not None else []
+    rows = docs.select(F.col(id_col).alias("id"), *carried, text_or_empty(F.col(text_col)).alias("text"))
+    ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInPandas(run, f"{ids}, {TREE_SCHEMA}").withColumnRenamed("id", id_col)
+
+
+def edit_trees(trees: DataFrame, edits: Column, path: str, pattern: str, id_col: str = "doc_id",
+               keep_trees: bool = True) -> DataFrame:
+    """The trees after their ``edits`` (an array of (begin, end, replacement);
+    null: none), with the token and character counts before and after, and how
+    much was encoded again; without the trees themselves if not ``keep_trees``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoding = token_encoding(path, pattern)
+        recount = lambda texts: [len(encoding.encode_ordinary(t)) for t in texts]
+        names = [c.split()[0] for c in COUNT_SCHEMA.split(", ")]
+        for pdf in batches:
+            rows, after = [], []
+            for segments, chars, tokens, own in zip(pdf["segments"], pdf["chars"], pdf["tokens"], pdf["edits"]):
+                tree = SegmentTree.stored(segments, chars, tokens)
+                before, n_chars = tree.n_tokens, tree.n_chars
+                for e in (own if own is not None else ()):
+                    tree.edit(e["begin"], e["end"], e["replacement"], recount)
+                rows.append((before, tree.n_tokens, n_chars, tree.n_chars, len(segments),
+                             tree.reencoded_segments, tree.reencoded_chars))
+                after.append(tree)
+            out = pd.DataFrame(rows, columns=names)
+            out.insert(0, "id", pdf["id"].to_numpy())
+            if keep_trees:
+                out = out.assign(segments=[t.segments for t in after], chars=[t.chars for t in after],
+                                 tokens=[t.tokens for t in after])
+            yield out
+
+    text_batches(trees.sparkSession)
+    rows = trees.select(F.col(id_col).alias("id"), *TREE_COLUMNS, edits.alias("edits"))
+    kind = trees.schema[id_col].dataType.simpleString()
+    schema = f"id {kind}, {COUNT_SCHEMA}" + (f", {TREE_SCHEMA}" if keep_trees else "")
+    return rows.mapInPandas(run, schema).withColumnRenamed("id", id_col)
+
+
+def count_edited(docs: DataFrame, edits: Column, path: str, pattern: str, id_col: str = "doc_id",
+                 text_col: str = "text") -> DataFrame:
+    """Token counts of every document before and after its ``edits`` (an array
+    of (begin, end, replacement)), and how much was encoded again."""
+    trees = build_trees(docs, path, pattern, id_col, text_col, edits)
+    return edit_trees(trees, F.col("edits"), path, pattern, id_col, keep_trees=False)
 
 
 def sample_edits(text: Column) -> Column:

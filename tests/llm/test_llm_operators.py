@@ -439,3 +439,79 @@ def test_rare_toxic_labels_are_learned_from(spark):
     assert {r.doc_id for r in sample if r.label} == bad and len(sample) < 100
     kept = {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()}
     assert not kept & bad and len(kept) == len(rows) - len(bad)
+
+
+def test_kept_trees_take_later_edits(spark, tmp_path, documents, texts):
+    """Trees are written, a later batch edits some documents, a third the
+    result; counts are those of the whole texts, and a segment that no edit
+    touches is never encoded again."""
+    encoding = token_counts.token_encoding(RANKS, PATTERN)
+    count = lambda t: len(encoding.encode_ordinary(t))
+    ids = sorted(texts)[:60]
+    docs = documents.where(F.col("doc_id").isin(ids))
+    token_counts.build_trees(docs, RANKS, PATTERN).write.parquet(str(tmp_path / "0"))
+    now = {i: texts[i] for i in ids}
+    rng = random.Random(6)
+    for batch in range(2):
+        made = {}
+        for i in rng.sample(ids, 25):
+            own, t = [], now[i]
+            for _ in range(rng.randrange(1, 4)):
+                a = rng.randrange(len(t) + 1)
+                b = min(len(t), a + rng.randrange(9))
+                r = rng.choice(["", " ", "new words ", "\n\n", "é", "x" * 30])
+                own.append((a, b, r))
+                t = t[:a] + r + t[b:]
+            made[i], now[i] = own, t
+        edits = spark.createDataFrame(list(made.items()),
+                                      "doc_id long, edits array<struct<begin:int,end:int,replacement:string>>")
+        stored = spark.read.parquet(str(tmp_path / str(batch))).join(edits, "doc_id", "left")
+        done = token_counts.edit_trees(stored, F.col("edits"), RANKS, PATTERN)
+        done.select("doc_id", *token_counts.TREE_COLUMNS).write.parquet(str(tmp_path / str(batch + 1)))
+        rows = {r.doc_id: r for r in done.collect()}
+        assert all(rows[i].n_tokens_edited == count(now[i]) and "".join(rows[i].segments) == now[i] for i in ids)
+        assert all((rows[i].segments_reencoded > 0) <= (i in made) for i in ids)
+    # wrong sums of an untouched segment stay as they are
+    one = spark.createDataFrame([(1, " ".join(["word"] * 400))], "doc_id long, text string")
+    tree = token_counts.build_trees(one, RANKS, PATTERN).first()
+    kept = token_counts.SegmentTree.stored(tree.segments, tree.chars, tree.tokens)
+    kept._set(0, kept.segments[0], 10_000)
+    marked = spark.createDataFrame([(1, kept.segments, kept.chars, kept.tokens)], f"doc_id long, {token_counts.TREE_SCHEMA}")
+    end = F.array(F.struct(F.lit(1999).alias("begin"), F.lit(1999).alias("end"), F.lit(" more").alias("replacement")))
+    r = token_counts.edit_trees(marked, end, RANKS, PATTERN).first()
+    assert r.tokens[len(r.tokens) // 2] == 10_000 and r.n_tokens_edited == r.n_tokens + 1
+    assert r.segments_reencoded == 1 < r.n_segments
+
+
+def test_forest_links_share_a_prefix_and_connect_every_node(spark):
+    rng = random.Random(12)
+    width, trees, shortest = neardup.DEPTH * neardup.SYMBOL_BYTES, 3, 4
+    labels = {}
+    for i in range(150):
+        symbols = [[rng.choice((0, 0, 0, 1)) for _ in range(neardup.DEPTH)] for _ in range(trees)]
+        labels[i.to_bytes(2, "big")] = b"".join(bytes([0, x]) for t in symbols for x in t)
+    df = spark.createDataFrame([(bytearray(k), bytearray(v)) for k, v in labels.items()], "key binary, labels binary")
+    edges = [(bytes(r.a), bytes(r.b)) for r in neardup.forest_edges(df, trees, shortest).collect()]
+    prefix = lambda k, t: labels[k][t * width:t * width + shortest * neardup.SYMBOL_BYTES]
+    assert all(any(prefix(a, t) == prefix(b, t) for t in range(trees)) for a, b in edges)
+    root = {k: k for k in labels}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in edges:
+        root[find(a)] = find(b)
+    for a, b in itertools.combinations(labels, 2):
+        if any(prefix(a, t) == prefix(b, t) for t in range(trees)):
+            assert find(a) == find(b)
+    assert len(edges) < trees * len(labels) * 3
+
+
+def test_rows_in_a_fixed_order_are_left_alone(spark, documents):
+    from cohortlens.llm.common import settled
+    scan = documents.select("doc_id", F.upper("text").alias("text")).where("doc_id > 3")
+    assert settled(scan) is scan
+    for df in (scan.repartition(3), scan.join(scan.select("doc_id"), "doc_id"), scan.distinct(), scan.orderBy("doc_id")):
+        done = settled(df)
+        assert done is not df and done.count() == df.count() and settled(done) is done
