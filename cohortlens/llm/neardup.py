@@ -211,19 +211,18 @@ def forest_edges(entries: DataFrame, trees: int, shortest: int) -> DataFrame:
     are linked. Every node of that depth ends up connected; the entries of a
     node meet once, however many levels it has."""
     width = DEPTH * SYMBOL_BYTES
-    leaf = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring("labels", t * width + 1, F.lit(width)).alias("label")))
-    level = entries.select(F.col("key").alias("entry"), F.inline(leaf))
+    # a label with its tree in front
+    leaf = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.concat(
+        F.unhex(F.lpad(F.hex(t), 4, "0")), F.substring("labels", t * width + 1, F.lit(width))))
+    level = entries.select(F.col("key").alias("entry"), F.explode(leaf).alias("label"))
     edges = None
     for depth in range(DEPTH, shortest - 1, -1):
-        level = level.select("entry", F.xxhash64("tree", F.substring("label", 1, depth * SYMBOL_BYTES)).alias("node"),
-                             "tree", "label")
-        nodes = level.groupBy("node").agg(F.min("entry").alias("least"), F.max("entry").alias("last"),
-                                          F.min(F.struct("entry", "tree", "label")).alias("first"))
-        links = (level.select("entry", "node").join(nodes.where("least != last").select("node", "least"), "node")
+        level = level.select("entry", F.substring("label", 1, 2 + depth * SYMBOL_BYTES).alias("label"))
+        nodes = level.groupBy("label").agg(F.min("entry").alias("least"), F.max("entry").alias("last"))
+        links = (level.join(nodes.where("least != last").select("label", "least"), "label")
                  .where("entry != least").select(F.col("entry").alias("a"), F.col("least").alias("b")))
         edges = links if edges is None else edges.union(links)
-        level = nodes.select("first.*")
+        level = nodes.select(F.col("least").alias("entry"), "label")
     return edges
 
 
