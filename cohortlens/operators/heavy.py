@@ -15,17 +15,17 @@ SKETCH_GROUPS = 64           # sketches that are merged in one task
 MOST_TRACKED = 1_000_000     # the largest sketch Spark takes
 
 
-def heavy_keys(df: DataFrame, key: str, parts: int) -> DataFrame:
+def heavy_keys(df: DataFrame, key: str, parts: int, total: int | None = None) -> DataFrame:
     """(key, rows) of the keys with more than 1 / ``parts`` of the rows: fewer
     than ``parts`` rows. Null keys are left out. Runs a job for the number of
-    rows.
+    rows with a key, unless it is given as ``total``.
 
     A key above the share has more than n / parts rows. With 16 items tracked
     per part an estimate is off by less than n / (4 parts), so the first
     2 * parts estimates hold every such key: that many others would need more
     than n rows."""
     rows = df.where(F.col(key).isNotNull())
-    total = rows.count()
+    total = rows.count() if total is None else total
     tracked = max(1000, 16 * parts)
     if not total or tracked > MOST_TRACKED:              # sketches of nothing cannot be merged
         counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
