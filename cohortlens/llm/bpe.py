@@ -10,9 +10,8 @@ library whole, which gives that token's id, as its plain call does.
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from itertools import chain
 
 import numpy as np
@@ -24,48 +23,53 @@ JOINED = 200                  # pieces encoded in one library call
 # Unicode white space as the tokenizers see it: Python's \s without x1c-x1f.
 _PIECE = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+\Z")
 _BARE = "\x1f"                 # marks a word that no space stands before
+_SPACE = chr(256 + 32)         # the letter by which byte-level vocabularies write a space
 
 
 class PieceEncoder:
-    """``encode_pieces`` maps a list of strings to a list of id sequences.
+    """``encode_pieces`` maps a list of strings to a list of id sequences, or to
+    all ids in a row and the count of each string.
 
-    Known pieces keep a slot in a table of bounded size; when it is full, the
-    slots that were used more than once since the last time stay."""
+    Known pieces keep a slot in a table of bounded size, a column of strings
+    that a batch's distinct words are looked up in at once; when it is full,
+    the slots that were used more than once since the last time stay."""
 
-    def __init__(self, encode_pieces: Callable[[list[str]], list]):
-        self._encode_pieces = encode_pieces
-        self._reset({}, np.empty(0, np.int64), np.empty(0, "<u4"))
+    def __init__(self, encode_pieces: Callable[[list[str]], list | tuple[np.ndarray, np.ndarray]],
+                 added: Sequence[str] = ()):
+        self._encode_pieces, self.added = encode_pieces, added      # strings of added tokens, for ``TextEncoder``
+        self._reset(pa.array([], pa.large_string()), np.empty(0, np.int64), np.empty(0, "<u4"))
 
-    def _reset(self, slots: dict[str, int], sizes: np.ndarray, flat: np.ndarray) -> None:
+    def _reset(self, slots: pa.Array, sizes: np.ndarray, flat: np.ndarray) -> None:
         self._slots, self._sizes, self._flat = slots, sizes, flat
         self._starts = np.cumsum(sizes) - sizes
         self._uses = np.zeros(len(sizes), np.int64)
 
-    def _add(self, keys: list[str], pieces: list[str]) -> None:
-        found = self._encode_pieces(pieces)
-        first = len(self._slots)
-        self._slots.update(zip(keys, range(first, first + len(keys))))
-        sizes = np.concatenate([self._sizes, np.array([len(x) for x in found], np.int64)])
-        flat = np.concatenate([self._flat, np.fromiter(chain.from_iterable(found), "<u4")])
-        uses = np.concatenate([self._uses, np.zeros(len(found), np.int64)])
-        self._reset(self._slots, sizes, flat)
-        self._uses = uses
+    def _find(self, keys: pa.Array) -> np.ndarray:
+        """The slot of each key, -1 for unknown ones."""
+        return pc.fill_null(pc.index_in(keys, self._slots), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def _add(self, keys: list[str], pieces: list[str]) -> np.ndarray:
+        """The slots of new keys, in their order."""
+        found, first, uses = self._encode_pieces(pieces), len(self._slots), self._uses
+        if not isinstance(found, tuple):
+            found = (np.fromiter(chain.from_iterable(found), "<u4"), np.array([len(x) for x in found], np.int64))
+        self._reset(pa.concat_arrays([self._slots, pa.array(keys, pa.large_string())]),
+                    np.concatenate([self._sizes, found[1]]), np.concatenate([self._flat, found[0]]))
+        self._uses[:first] = uses
+        return np.arange(first, len(self._slots))
 
     def _shrink(self) -> None:
         kept = np.flatnonzero(self._uses > 1)
         if len(kept) > CACHED_PIECES // 2:
             kept = np.sort(kept[np.argsort(-self._uses[kept], kind="stable")[:CACHED_PIECES // 2]])
-        place = np.full(len(self._sizes), -1)
-        place[kept] = np.arange(len(kept))
-        slots = {k: int(place[v]) for k, v in self._slots.items() if place[v] >= 0}
         n = self._sizes[kept]
-        self._reset(slots, n, _runs_of(self._flat, self._starts[kept], n))
+        self._reset(self._slots.take(pa.array(kept)), n, _runs_of(self._flat, self._starts[kept], n))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row (little-endian 32-bit) and the count of each text."""
         if len(self._slots) > CACHED_PIECES:
             self._shrink()
-        get, slow = self._slots.get, {k for k, t in enumerate(texts) if _BARE in t}
+        slow = {k for k, t in enumerate(texts) if _BARE in t}
         fast = [k for k, t in enumerate(texts) if t and k not in slow]
         # split and number the words column-wise; only distinct ones are objects
         marked = pa.array([t[1:] if t[0] == " " else _BARE + t for t in map(texts.__getitem__, fast)],
@@ -76,26 +80,28 @@ class PieceEncoder:
         per_text = np.zeros(len(texts), np.int64)
         per_text[fast] = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         coded = parts.flatten().dictionary_encode()
-        place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+        place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
         owner = np.repeat(np.arange(len(texts)), per_text)
-        slot = np.array([get(w, -1) for w in words], np.int64)
+        slot = self._find(words)
         missing = np.flatnonzero(slot < 0)
         if len(missing):
-            odd = _odd_words([words[i] for i in missing.tolist()])
+            new = words.take(pa.array(missing)).to_pylist()
+            odd = _odd_words(new)
             if odd.any():
                 slow.update(owner[np.isin(place, missing[odd])].tolist())
-                missing = missing[~odd]
-            new = [words[i] for i in missing.tolist()]
-            self._add(new, [w if w == "\n" else w[1:] if w[0] == _BARE else " " + w for w in new])
-            slot[missing] = [get(w) for w in new]
+                missing, new = missing[~odd], [w for w, o in zip(new, odd.tolist()) if not o]
+            slot[missing] = self._add(new, [w if w == "\n" else w[1:] if w[0] == _BARE else " " + w for w in new])
         codes = slot[place] if len(words) else np.empty(0, np.int64)
         if slow:
             cut = {k: _PIECE.findall(texts[k]) for k in sorted(slow)}
-            marked = [_BARE + _BARE + p for part in cut.values() for p in part]
-            new = [w for w in dict.fromkeys(marked) if w not in self._slots]
-            self._add(new, [w[2:] for w in new])
+            coded = pa.array([_BARE + _BARE + p for part in cut.values() for p in part],
+                             pa.large_string()).dictionary_encode()
+            slot = self._find(coded.dictionary)
+            missing = np.flatnonzero(slot < 0)
+            new = coded.dictionary.take(pa.array(missing)).to_pylist()
+            slot[missing] = self._add(new, [w[2:] for w in new])
             keep = ~np.isin(owner, list(cut))
-            codes = np.concatenate([codes[keep], np.array([get(w) for w in marked], np.int64)])
+            codes = np.concatenate([codes[keep], slot[coded.indices.to_numpy(zero_copy_only=False)]])
             owner = np.concatenate([owner[keep], np.repeat(list(cut), [len(p) for p in cut.values()])])
             order = np.argsort(owner, kind="stable")
             codes, owner = codes[order], owner[order]
@@ -128,47 +134,56 @@ def _odd_words(words: list[str]) -> np.ndarray:
     return np.array([odd(w) for w in words], bool)
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letters by which byte-level vocabularies write bytes: printable
-    Latin-1 as itself, the others from code point 256 on, in order."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    rest = iter(range(256, 512))
-    return {b: chr(b if b in printable else next(rest)) for b in range(256)}
-
-
-def _library_ids(t, model) -> Callable[[list[str]], list[np.ndarray]]:
-    """Ids of pieces by the library. A piece of letters only is one pre-token
-    and goes to the library's BPE model as it is; the others are encoded many
-    in one call, joined by line breaks, which the pre-tokenizer keeps apart as
-    one token of their own."""
-    letters = _byte_letters()
+def _library_ids(t) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
+    """Ids of pieces by the library, many pieces in one call. A space and ASCII
+    letters are one pre-token; such pieces go to the library's BPE model one
+    after the other: where no token has a space after a letter, none reaches
+    into the next piece, and the tokens that begin with a space show where
+    pieces begin. Others are joined by line breaks, which the pre-tokenizer
+    keeps apart as one token of their own."""
+    vocabulary, model, space = t.get_vocab(), t.model, _SPACE
+    spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+    spaced[[k for w, k in vocabulary.items() if w[0] == space]] = True
+    apart = not any(map(re.compile(f"[A-Za-z]{space}").search, vocabulary))
     mark = t.encode("\n", add_special_tokens=False).ids
 
-    def encode(pieces: list[str]) -> list[np.ndarray]:
-        out: list = [None] * len(pieces)
-        plain, alone = [], []
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words, plain, alone = [], [], []
         for k, p in enumerate(pieces):
-            if (p[1:] if p[0] == " " else p).isalpha():
-                out[k] = [x.id for x in model.tokenize(p.encode().decode("latin-1").translate(letters))]
+            if apart and p[0] == " " and p[1:].isalpha() and p.isascii():
+                words.append(k)
             elif len(p.split()) == 1 and "\n" not in p and not p[:2].isspace():
                 plain.append(k)
             else:
                 alone.append(k)
-        joined = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
-        encoded = t.encode_batch_fast(["\n".join([pieces[k] for k in g]) for g in joined], add_special_tokens=False)
-        for group, e in zip(joined, encoded):
+        order, flat, sizes = [], [], []
+
+        def put(group: list[int], ids: np.ndarray, n: np.ndarray) -> None:
+            if len(n) != len(group) or n.sum() != len(ids):     # the pieces are not apart here
+                alone.extend(group)
+                return
+            order.append(group)
+            flat.append(ids)
+            sizes.append(n)
+
+        groups = lambda some: [some[k:k + JOINED] for k in range(0, len(some), JOINED)]
+        for group in groups(words):
+            text = "".join([pieces[k] for k in group]).replace(" ", space)
+            ids = np.array([x.id for x in model.tokenize(text)], "<u4")
+            put(group, ids, np.diff(np.append(np.flatnonzero(spaced[ids]), len(ids))))
+        joined = groups(plain)
+        for group, e in zip(joined, t.encode_batch_fast(["\n".join([pieces[k] for k in g]) for g in joined],
+                                                        add_special_tokens=False)):
             ids = np.asarray(e.ids, "<u4")
-            ends = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else []
-            if len(ends) != len(group) - 1:       # the break is not one token here
-                alone += group
-                continue
-            at = 0
-            for k, end in zip(group, [*ends.tolist(), len(ids)]):
-                out[k] = ids[at:end]
-                at = end + 1
+            ends = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else np.empty(0, np.int64)
+            put(group, np.delete(ids, ends), np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1)
         for k, e in zip(alone, t.encode_batch_fast([pieces[k] for k in alone], add_special_tokens=False)):
-            out[k] = e.ids
-        return out
+            put([k], np.asarray(e.ids, "<u4"), np.array([len(e.ids)]))
+        if not order:
+            return np.empty(0, "<u4"), np.empty(0, np.int64)
+        n = np.concatenate(sizes).astype(np.int64)
+        back = np.argsort(np.concatenate(order))
+        return _runs_of(np.concatenate(flat), (np.cumsum(n) - n)[back], n[back]), n[back]
     return encode
 
 
@@ -177,10 +192,9 @@ class TextEncoder:
     gives for each text: by pieces, or whole where an added token's string is."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
         self._path, self._library = path, None
         self._pieces = library_encoder(path)
-        self._added = [a.content for a in Tokenizer.from_file(path).get_added_tokens_decoder().values() if a.content]
+        self._added = self._pieces.added
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         if self._library is None:       # few workers ever see such a text
@@ -220,15 +234,11 @@ def library_encoder(path: str) -> PieceEncoder:
     if key not in _ENCODERS:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True      # their strings in a text are ordinary text
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)["model"]
-        # the same BPE without the library's word cache: pieces are cached here
-        model = models.BPE(spec["vocab"], [tuple(m.split(" ") if isinstance(m, str) else m) for m in spec["merges"]],
-                           cache_capacity=0)
-        _ENCODERS[key] = PieceEncoder(_library_ids(t, model))
+        _ENCODERS[key] = PieceEncoder(_library_ids(t), [
+            a.content for a in t.get_added_tokens_decoder().values() if a.content])
     return _ENCODERS[key]
 
 

@@ -263,6 +263,32 @@ def test_packed_sequences_carry_their_ids(spark):
     assert {i: sum((p[k] for k in sorted(p)), []) for i, p in back.items()} == found
 
 
+def test_new_words_are_encoded_together():
+    """Words of ASCII letters go to the library many in one call, and those
+    that Latin-1 letters, marks or a broken join keep apart come out alike."""
+    t = Tokenizer.from_file(VOCABULARY)
+    t.encode_special_tokens = True
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefghinorstuTHE", k=rng.randrange(1, 12))) for _ in range(3000)]
+    words[5::50] = ["caf\u00e9", "na\u00efve", "it's", "x1", "\u00a0\u00a0", "a\u00a0b"] * 10
+    texts = [" ".join(words[k:k + 30]) for k in range(0, 3000, 30)] + ["", " lone", "one"]
+    calls = []
+
+    class Counted:
+        def __init__(self, model):
+            self.tokenize = lambda s: calls.append(s) or model.tokenize(s)
+
+    class Library:
+        model = Counted(t.model)
+        get_vocab, encode, encode_batch_fast = t.get_vocab, t.encode, t.encode_batch_fast
+
+    ids, counts = bpe.PieceEncoder(bpe._library_ids(Library)).encode(texts)
+    ends = np.cumsum(counts)
+    for text, a, b, e in zip(texts, ends - counts, ends, t.encode_batch(texts, add_special_tokens=False)):
+        assert ids[a:b].tolist() == e.ids, repr(text)
+    assert 0 < len(calls) <= 2 * -(-len(words) // bpe.JOINED)
+
+
 def test_piece_cache_stays_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "CACHED_PIECES", 50)
     encoder = bpe.PieceEncoder(lambda pieces: [np.frombuffer(p.encode(), np.uint8) for p in pieces])
